@@ -1,5 +1,9 @@
 """Registered queries: each is a Spark plan over the driver tables plus, where
-SQL can express it, a DuckDB twin used as the correctness oracle."""
+SQL can express it, a DuckDB twin used as the correctness oracle.
+
+Stand-ins (see ``standins``): orders = movies, first line item = first
+torrent, part = movie entity.  Two landing batches split at 1998-01-01.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +11,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from constella import schemas as S
+from constella.functions import default_array, parse_timestamp
 from constella.operators import (
+    absent_from,
+    advance_mark,
     clean,
+    dense_keys,
     distinct_values,
+    exploded_values,
     incremental_window,
+    insert_only,
+    max_of,
+    new_date_members,
     new_members,
+    rows_missing_date,
+    with_sentinels,
+)
+from constella.plans.batches import TS, batch_windows, empty, grow, star_states
+from constella.plans.sqlgen import (
+    genre_ctes,
+    grow_date_ctes,
+    grow_dim_ctes,
+    simple_dims_ctes,
+    star_ctes,
+    windows_ctes,
+    with_,
 )
-from constella.plans.batches import batch_windows, empty, grow
-from constella.plans.sqlgen import grow_dim_ctes, windows_ctes, with_
-from constella.plans.standins import CUTS_2, raw_movies, sql_silver_ctes, table
+from constella.plans.standins import CUTS_2, raw_movies, sql_raw_ctes, sql_silver_ctes, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -31,9 +54,20 @@ def query(name: str, sql: str | None = None):
 
 
 def silver(spark: SparkSession, sf_dir: str, cuts=CUTS_2) -> DataFrame:
-    return clean(raw_movies(spark, sf_dir, cuts), keep=("landing",))
+    """Cleaned stand-in rows, materialised once per query (checkpoint in the
+    shared folder) so the many window/dimension steps read it, not the joins."""
+    return clean(raw_movies(spark, sf_dir, cuts), keep=("landing",)).checkpoint(eager=True)
+
+
+def _windows(spark, sf_dir, n=2):
+    return batch_windows(silver(spark, sf_dir), n)
 
 
+RAW = with_(sql_raw_ctes(CUTS_2))
+SILVER = with_(sql_silver_ctes(CUTS_2))
+W2 = with_(sql_silver_ctes(CUTS_2), windows_ctes(2))
+STAR2 = with_(sql_silver_ctes(CUTS_2), windows_ctes(2), *star_ctes(2))
+
 # --- C2 F2 F3 A4: incremental window -----------------------------------------
 @query("q_window", """
 SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders
@@ -45,20 +79,246 @@ def q_window(spark, sf_dir):
             .select("o_orderkey", "o_orderdate", "o_orderpriority"))
 
 
-# --- C3: single-column dimension grown over two batches -------------------------
-def _simple_dim(spark, sf_dir, column, key, schema):
-    windows = batch_windows(silver(spark, sf_dir), 2)
-    return grow(windows, empty(spark, schema),
-                lambda w, d: new_members(distinct_values(w, column), d, column, key))
+@query("q_window_batches", W2 + """
+SELECT movie_id, date_uploaded, CAST(1 AS INTEGER) AS batch FROM w1
+UNION ALL SELECT movie_id, date_uploaded, CAST(2 AS INTEGER) AS batch FROM w2""")
+def q_window_batches(spark, sf_dir):
+    w1, w2 = _windows(spark, sf_dir)
+    return (w1.select("movie_id", TS, F.lit(1).alias("batch"))
+              .unionByName(w2.select("movie_id", TS, F.lit(2).alias("batch"))))
+
+
+# --- F1 P7 X8: rows with a missing date and the first torrent's values -----------
+@query("q_isnull", RAW + """
+SELECT id, t0_date AS date_uploaded, t0_unix AS date_uploaded_unix FROM raw WHERE date_uploaded IS NULL""")
+def q_isnull(spark, sf_dir):
+    return rows_missing_date(raw_movies(spark, sf_dir))
+
+
+# --- C1 X1 X2: cleaning (projection form) -----------------------------------------
+SILVER_OUT = ["movie_id", "imdb_code", "slug", "url", "title", "year", "rating", "runtime",
+              "language", "state", "date_uploaded", "date_uploaded_unix"]
+
+
+@query("q_coalesce_nested", SILVER + f"""
+SELECT {', '.join(SILVER_OUT)}, to_json(genres) AS genres_json FROM silver""")
+def q_coalesce_nested(spark, sf_dir):
+    s = clean(raw_movies(spark, sf_dir))
+    return s.select(*SILVER_OUT, F.to_json("genres").alias("genres_json"))
+
+
+# --- J1: the literal self-join form of the cleaning -----------------------------
+@query("q_left_join", RAW + """
+SELECT r.id AS movie_id, coalesce(r.date_uploaded, u.date_uploaded) AS date_text,
+       coalesce(r.date_uploaded_unix, u.date_uploaded_unix) AS date_uploaded_unix
+FROM raw r LEFT JOIN (SELECT id, t0_date AS date_uploaded, t0_unix AS date_uploaded_unix
+                      FROM raw WHERE date_uploaded IS NULL) u ON r.id = u.id""")
+def q_left_join(spark, sf_dir):
+    raw = raw_movies(spark, sf_dir)
+    upd = rows_missing_date(raw)
+    j = raw.alias("main").join(upd.alias("upd"), on="id", how="left")
+    return j.select(
+        F.col("id").alias("movie_id"),
+        F.coalesce("main.date_uploaded", "upd.date_uploaded").alias("date_text"),
+        F.coalesce("main.date_uploaded_unix", "upd.date_uploaded_unix").alias("date_uploaded_unix"),
+    )
+
+
+# --- X2 / X3: default array and explode --------------------------------------------
+@query("q_default_array", RAW + """
+SELECT id AS movie_id, to_json(coalesce(genres, ['other'])) AS genres_json FROM raw""")
+def q_default_array(spark, sf_dir):
+    raw = raw_movies(spark, sf_dir)
+    return raw.select(F.col("id").alias("movie_id"), F.to_json(default_array("genres")).alias("genres_json"))
+
+
+@query("q_explode", SILVER + """
+SELECT movie_id, unnest(genres) AS genre FROM silver""")
+def q_explode(spark, sf_dir):
+    s = clean(raw_movies(spark, sf_dir))
+    return s.select("movie_id", F.explode("genres").alias("genre"))
+
+
+# --- A1 A2: distinct one / several columns ------------------------------------------
+@query("q_distinct", W2 + """
+SELECT DISTINCT year FROM w2""")
+def q_distinct(spark, sf_dir):
+    return distinct_values(_windows(spark, sf_dir)[1], "year")
+
+
+@query("q_distinct_multi", W2 + """
+SELECT DISTINCT slug, url, title FROM w1""")
+def q_distinct_multi(spark, sf_dir):
+    return _windows(spark, sf_dir)[0].select("slug", "url", "title").distinct()
+
+
+# --- J2 J3 J4 H4: anti joins and the inner genre join ----------------------------
+def _genre_dim_1(spark, sf_dir):
+    ws = _windows(spark, sf_dir)
+    d1 = grow(ws[:1], empty(spark, S.DIM_GENRE),
+              lambda w, d: new_members(exploded_values(w, "genres", "genre_name"), d,
+                                       "genre_name", "genre_id", "int"))
+    return ws, d1
+
+
+G1 = with_(sql_silver_ctes(CUTS_2), windows_ctes(2), genre_ctes(1))
+
+
+@query("q_inner_join", G1 + """
+SELECT p.movie_id, g.genre_id FROM (SELECT movie_id, unnest(genres) AS genre_name FROM w1) p
+JOIN dg_1 g ON g.genre_name = p.genre_name""")
+def q_inner_join(spark, sf_dir):
+    ws, d1 = _genre_dim_1(spark, sf_dir)
+    pairs = ws[0].select("movie_id", F.explode("genres").alias("genre_name"))
+    return pairs.join(d1, on=pairs["genre_name"] == d1["genre_name"], how="inner").select("movie_id", "genre_id")
+
+
+@query("q_anti_expr", G1 + """
+SELECT DISTINCT s.genre_name FROM (SELECT unnest(genres) AS genre_name FROM w2) s
+WHERE NOT EXISTS (SELECT 1 FROM dg_1 e WHERE e.genre_name = s.genre_name)""")
+def q_anti_expr(spark, sf_dir):
+    ws, d1 = _genre_dim_1(spark, sf_dir)
+    new = exploded_values(ws[1], "genres", "genre_name")
+    return (new.alias("new").join(d1.alias("existing"),
+                                  on=F.col("new.genre_name") == F.col("existing.genre_name"),
+                                  how="leftanti")
+               .select(F.col("new.genre_name")))
+
+
+@query("q_anti_using", W2 + """
+SELECT DISTINCT runtime FROM w2 s
+WHERE NOT EXISTS (SELECT 1 FROM w1 e WHERE e.runtime = s.runtime)""")
+def q_anti_using(spark, sf_dir):
+    w1, w2 = _windows(spark, sf_dir)
+    return distinct_values(w2, "runtime").join(distinct_values(w1, "runtime"), on="runtime", how="left_anti")
+
+
+@query("q_anti_nullsafe", W2 + """
+SELECT DISTINCT runtime FROM w2 s
+WHERE NOT EXISTS (SELECT 1 FROM w1 e WHERE e.runtime IS NOT DISTINCT FROM s.runtime)""")
+def q_anti_nullsafe(spark, sf_dir):
+    w1, w2 = _windows(spark, sf_dir)
+    return absent_from(distinct_values(w2, "runtime"), distinct_values(w1, "runtime"), ["runtime"])
+
+
+# --- J6 J7: text date -> timestamp join, double equality join -----------------
+@query("q_string_ts_join", STAR2 + """
+SELECT r.id AS movie_id, d.date_key FROM raw r
+LEFT JOIN dd_2 d ON d.date = TRY_CAST(r.date_uploaded AS TIMESTAMP)""")
+def q_string_ts_join(spark, sf_dir):
+    dd = star_states(silver(spark, sf_dir), 2, ["dim_date"])["dim_date"][2]
+    raw = raw_movies(spark, sf_dir)
+    return (raw.join(dd, parse_timestamp(raw["date_uploaded"]) == dd["date"], "left")
+               .select(raw["id"].alias("movie_id"), dd["date_key"]))
+
+
+@query("q_double_join", STAR2 + """
+SELECT s.movie_id, r.rating_key FROM silver s LEFT JOIN dra_2 r ON r.rating = s.rating""")
+def q_double_join(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    dr = star_states(s, 2, ["dim_rating"])["dim_rating"][2]
+    return s.join(dr, s["rating"] == dr["rating"], "left").select("movie_id", "rating_key")
+
+
+# --- W1 C3: keys --------------------------------------------------------------------
+@query("q_rownum_key", with_(sql_silver_ctes(CUTS_2), windows_ctes(2), simple_dims_ctes(2)) + """
+SELECT * FROM dy_2 WHERE year_key > (SELECT coalesce(max(year_key), 0) FROM dy_1)""")
+def q_rownum_key(spark, sf_dir):
+    w1, w2 = _windows(spark, sf_dir)
+    d1 = grow([w1], empty(spark, S.DIM_RELEASED_YEAR),
+              lambda w, d: new_members(with_sentinels(distinct_values(w, "year"), "year", [4000]), d,
+                                       "year", "year_key"))
+    return new_members(with_sentinels(distinct_values(w2, "year"), "year", [4000]), d1, "year", "year_key")
+
+
+@query("q_dense_key", """
+SELECT o_orderkey, o_orderdate,
+       CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS order_seq
+FROM orders""")
+def q_dense_key(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    return dense_keys(o, ["o_orderdate", "o_orderkey"], "order_seq")
+
+
+# --- C3 C4 C5 C6 C7 C8 C9: the gold tables after two batches ---------------------
+def _star_query(table_name, sql_name, cols):
+    def fn(spark, sf_dir):
+        return star_states(silver(spark, sf_dir), 2, [table_name])[table_name][2].select(*cols)
+    return fn, STAR2 + f"\nSELECT {', '.join(cols)} FROM {sql_name}_2"
+
+
+for _name, _tbl, _sql, _schema in [
+    ("q_dim_language", "dim_language", "dl", S.DIM_LANGUAGE),
+    ("q_dim_runtime", "dim_runtime", "dr", S.DIM_RUNTIME),
+    ("q_dim_rating", "dim_rating", "dra", S.DIM_RATING),
+    ("q_dim_year", "dim_released_year", "dy", S.DIM_RELEASED_YEAR),
+    ("q_dim_date", "dim_date", "dd", S.DIM_DATE),
+    ("q_dim_movie", "dim_movie", "dm", S.DIM_MOVIE),
+    ("q_dim_genre", "dim_genre", "dg", S.DIM_GENRE),
+    ("q_bridge", "genre_junction", "b", S.GENRE_JUNCTION),
+    ("q_fact", "fact_movies", "f", S.FACT_MOVIES),
+]:
+    _fn, _q = _star_query(_tbl, _sql, [f.name for f in _schema.fields])
+    REGISTRY[_name] = (_fn, _q)
+
+
+# --- C5 H17 on events.ts: timestamp grain (date_key repeats) and day grain --------
+def _events_dates(spark, sf_dir, grain):
+    ev = table(spark, sf_dir, "events").select("ts")
+    return new_date_members(incremental_window(ev, "ts"), "ts", empty(spark, S.DIM_DATE), grain)
+
+
+_EV = "(SELECT ts FROM events WHERE ts <= (SELECT max(ts) FROM events))"
+
+
+@query("q_dim_date_events", with_(grow_date_ctes("de", [f"SELECT ts AS date FROM {_EV}"])) +
+       "\nSELECT * FROM de_1")
+def q_dim_date_events(spark, sf_dir):
+    return _events_dates(spark, sf_dir, "timestamp")
+
+
+@query("q_dim_date_day", with_(grow_date_ctes("de", [f"SELECT date_trunc('day', ts) AS date FROM {_EV}"])) +
+       "\nSELECT * FROM de_1")
+def q_dim_date_day(spark, sf_dir):
+    return _events_dates(spark, sf_dir, "day")
+
+
+# --- A3 A5 A6 L1: counts and maxima --------------------------------------------
+@query("q_count_max", W2 + """
+SELECT (SELECT count(*) FROM w1) AS w1_rows, (SELECT count(*) FROM w2) AS w2_rows,
+       (SELECT m FROM wm1) AS mark1, (SELECT m FROM wm2) AS mark2,
+       (SELECT count(*) FROM silver WHERE date_uploaded IS NULL) AS null_dates""")
+def q_count_max(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    w1, w2 = batch_windows(s, 2)
+    m1 = advance_mark(w1, TS, None)
+    m2 = advance_mark(w2, TS, m1)
+    n = lambda df: df.select(F.count(F.lit(1))).scalar()
+    one = s.select(F.count(F.when(F.col(TS).isNull(), 1)).alias("null_dates"))
+    return one.select(n(w1).alias("w1_rows"), n(w2).alias("w2_rows"),
+                      m1.alias("mark1"), m2.alias("mark2"), "null_dates")
+
+
+# --- U1 S6: union all with an inline sentinel row ------------------------------
+@query("q_union", W2 + """
+SELECT DISTINCT year FROM w1 UNION ALL SELECT CAST(4000 AS BIGINT) AS year""")
+def q_union(spark, sf_dir):
+    w1 = _windows(spark, sf_dir)[0]
+    sentinel = spark.createDataFrame([(4000,)], StructType([StructField("year", LongType())]))
+    return distinct_values(w1, "year").union(sentinel)
 
 
-def _simple_dim_sql(name, column, key, nk_type):
-    return with_(sql_silver_ctes(CUTS_2), windows_ctes(2),
-                 grow_dim_ctes(name, key, column, "BIGINT", nk_type,
-                               [f"SELECT DISTINCT {column} FROM w{k}" for k in (1, 2)])) + \
-        f"\nSELECT {key}, {column} FROM {name}_2"
+# --- S13 U2: insert-only merge with an overlapping second window --------------------
+@query("q_merge_insert", with_(sql_silver_ctes(CUTS_2), windows_ctes(2, lookback="90 days")) + """
+SELECT movie_id, imdb_code, language FROM w1
+UNION ALL
+SELECT s.movie_id, s.imdb_code, s.language FROM w2 s
+WHERE NOT EXISTS (SELECT 1 FROM w1 t WHERE t.movie_id = s.movie_id)""")
+def q_merge_insert(spark, sf_dir):
+    w1, w2 = batch_windows(silver(spark, sf_dir), 2, lookback="90 days")
+    target = w1.select("movie_id", "imdb_code", "language")
+    source = w2.select("movie_id", "imdb_code", "language")
+    return target.unionByName(insert_only(source, target, ["movie_id"], null_safe=False))
 
 
-@query("q_dim_language", _simple_dim_sql("dl", "language", "language_key", "VARCHAR"))
-def q_dim_language(spark, sf_dir):
-    return _simple_dim(spark, sf_dir, "language", "language_key", S.DIM_LANGUAGE)
+__all__ = ["REGISTRY", "query", "silver", "max_of"]

@@ -7,8 +7,9 @@ movie entity (``p_name`` = slug, its words = genres, ``p_brand`` = title,
 ``p_type`` = url, ``p_size`` = runtime, ``l_discount`` = rating).
 Orders in status ``P`` arrive without a text date (the first torrent's ship
 date is the fallback); priority ``5-LOW`` orders arrive without unix seconds.
-Orders land in batches by ``o_orderdate`` (``landing`` column, cut dates in
-``CUTS``).
+Orders land in batches by their effective upload date (the order date, or
+for ``P`` orders the fallback ship date; ``landing`` column, cut dates in
+``CUTS_*``), so a batch's window holds the rows that landed with it.
 
 Every function has a DuckDB twin below so ``oracle_sql`` can recompute the
 same rows independently.
@@ -50,11 +51,11 @@ def _unix(ts: str) -> F.Column:
     return F.unix_seconds(F.col(ts).cast("timestamp"))
 
 
-def landing_batch(ts: str, cuts: Sequence[str]) -> F.Column:
+def landing_batch(ts: F.Column, cuts: Sequence[str]) -> F.Column:
     """1 + number of cut dates strictly before ``ts``."""
     n = F.lit(1)
     for c in cuts:
-        n = n + F.when(F.col(ts) > F.lit(c).cast("timestamp_ntz"), 1).otherwise(0)
+        n = n + F.when(ts > F.lit(c).cast("timestamp_ntz"), 1).otherwise(0)
     return n.cast("int")
 
 
@@ -94,7 +95,9 @@ def raw_movies(spark: SparkSession, sf_dir: str, cuts: Sequence[str] = ()) -> Da
                                .otherwise(_unix("o_orderdate")),
     }
     cols = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in RAW_MOVIE.fields]
-    return j.select(*cols, landing_batch("o_orderdate", cuts).alias("landing"))
+    effective = F.coalesce(F.when(no_date, F.col("line.l_shipdate")).otherwise(F.col("o_orderdate")),
+                           F.col("o_orderdate"))
+    return j.select(*cols, landing_batch(effective, cuts).alias("landing"))
 
 
 # ---------------------------------------------------------------------------
@@ -102,7 +105,8 @@ def raw_movies(spark: SparkSession, sf_dir: str, cuts: Sequence[str] = ()) -> Da
 # ---------------------------------------------------------------------------
 
 def sql_landing(cuts: Sequence[str]) -> str:
-    parts = " + ".join(f"CASE WHEN o.o_orderdate > TIMESTAMP '{c}' THEN 1 ELSE 0 END" for c in cuts)
+    eff = "coalesce(CASE WHEN o.o_orderstatus = 'P' THEN fl.l_shipdate ELSE o.o_orderdate END, o.o_orderdate)"
+    parts = " + ".join(f"CASE WHEN {eff} > TIMESTAMP '{c}' THEN 1 ELSE 0 END" for c in cuts)
     return f"CAST(1{' + ' + parts if parts else ''} AS INTEGER)"
 
 
@@ -147,6 +151,9 @@ def sql_silver_ctes(cuts: Sequence[str] = ()) -> str:
     return sql_raw_ctes(cuts) + """,
 silver AS (
   SELECT id AS movie_id, imdb_code, slug, url, title,
+         CAST(NULL AS VARCHAR) AS description_full, CAST(NULL AS VARCHAR) AS summary,
+         CAST(NULL AS VARCHAR) AS synopsis, CAST(NULL AS VARCHAR) AS background_image_original,
+         CAST(NULL AS VARCHAR) AS large_cover_image,
          year, rating, runtime, language, state,
          coalesce(genres, ['other']) AS genres,
          TRY_CAST(coalesce(date_uploaded, t0_date) AS TIMESTAMP) AS date_uploaded,
