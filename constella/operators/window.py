@@ -13,6 +13,11 @@ Bound = Column | str | _dt.datetime | _dt.date | None
 def _bound(df: DataFrame, ts: str, value: Bound) -> Column | None:
     if value is None or isinstance(value, Column):
         return value
+    if isinstance(value, _dt.datetime):
+        # wall-clock text: no driver time zone enters the literal
+        value = value.isoformat(sep=" ")
+    elif isinstance(value, _dt.date):
+        value = value.isoformat()
     return F.lit(value).cast(df.schema[ts].dataType)
 
 

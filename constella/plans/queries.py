@@ -322,3 +322,7 @@ def q_merge_insert(spark, sf_dir):
 
 
 __all__ = ["REGISTRY", "query", "silver", "max_of"]
+
+
+# run-level queries (pipeline, landed pages, stream) register themselves
+from constella.plans import run_queries  # noqa: E402,F401
