@@ -2,10 +2,10 @@
 
 ``row_number() over (order by k) + offset`` is what the keys mean, but a global
 window runs in one task.  Instead: a global sort (range-partitioned, sampled
-by Spark), a per-row id that encodes (partition, position), a checkpoint so
-that the sort's sampled bounds can never be re-drawn on recomputation, and a
-prefix sum over per-partition counts (one row per partition: a proven bound,
-so it is broadcast).
+by Spark), a per-row id that encodes (partition, position), a lineage cut
+(Parquet in the shared folder) so that the sort's sampled bounds can never be
+re-drawn on recomputation, and a prefix sum over per-partition counts (one row
+per partition: a proven bound, so it is broadcast).
 """
 
 from __future__ import annotations
@@ -15,7 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from constella.session import ensure_checkpoint_dir
+from constella.session import materialize
+
+# Inputs of at most this many rows (counted first) are numbered by one
+# row_number() window in a single task -- a checked bound; larger inputs take
+# the distributed path.
+SINGLE_TASK_LIMIT = 1_000_000
 
 # monotonically_increasing_id(): partition index in the upper 31 bits, row
 # position within the partition in the lower 33 bits.
@@ -28,24 +33,34 @@ def _order(c: str | Column) -> Column:
 
 
 def dense_keys(df: DataFrame, order_by: Sequence[str | Column], key: str,
-               offset: int | Column = 0, key_type: str = "bigint") -> DataFrame:
+               offset: int | Column = 0, key_type: str = "bigint",
+               stage_path: str | None = None,
+               single_task_limit: int | None = SINGLE_TASK_LIMIT) -> DataFrame:
     """Add ``key`` = 1-based rank in ``order_by`` order (NULLs first) + ``offset``.
 
     ``order_by`` must be a total order over ``df`` (a unique key) for the
     numbering to be deterministic.  ``offset`` may be a scalar-subquery column
     such as ``coalesce(max(key), 0)`` of the existing dimension.
+    ``stage_path`` is where the sorted rows are cut (default: a fresh folder
+    below the shared checkpoint folder); a retry may overwrite it.
+    ``single_task_limit``: when ``df`` has at most that many rows (one count
+    job), a single ``row_number()`` window numbers them; ``None`` forces the
+    distributed path.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    ranked = (df.orderBy(*[_order(c) for c in order_by])
-                .withColumn("_rid", F.monotonically_increasing_id())
-                .checkpoint(eager=True))
+    order = [_order(c) for c in order_by]
+    off = offset if isinstance(offset, Column) else F.lit(offset)
+    if single_task_limit is not None and df.count() <= single_task_limit:
+        rank = F.row_number().over(Window.orderBy(*order))
+        return df.withColumn(key, (rank + off).cast(key_type))
+    ranked = materialize(df.orderBy(*order)
+                           .withColumn("_rid", F.monotonically_increasing_id()),
+                         stage_path, "keys")
     part = F.shiftright(F.col("_rid"), _POS_BITS)
     counts = ranked.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
     starts = counts.select(
         F.col("_part"),
         (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_start"),
     )
-    off = offset if isinstance(offset, Column) else F.lit(offset)
     keyed = ranked.join(F.broadcast(starts), part == F.col("_part"))
     value = F.col("_start") + F.col("_rid").bitwiseAND(F.lit(_POS_MASK)) + F.lit(1) + off
     return keyed.withColumn(key, value.cast(key_type)).drop("_rid", "_part", "_start")

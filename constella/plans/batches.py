@@ -31,6 +31,8 @@ from constella.operators import (
     with_sentinels,
 )
 from constella.operators.window import advance_mark, incremental_window
+from constella.plans.concurrent import run_all
+from constella.session import materialize
 
 TS = "date_uploaded"
 SENTINEL_YEARS = (4000,)
@@ -39,28 +41,48 @@ FACT_COLUMNS = [f.name for f in S.FACT_MOVIES.fields]
 
 
 def batch_windows(silver: DataFrame, n_batches: int, ts: str = TS,
-                  landing: str = "landing", lookback: str | None = None) -> list[DataFrame]:
+                  landing: str = "landing", lookback: str | None = None,
+                  pin: bool = True) -> list[DataFrame]:
+    """Window of every batch.  ``pin`` (default) computes each batch's upper
+    bound and mark once -- one scalar each to the driver, as a run does --
+    so the many steps reading a window do not re-run the bound aggregates;
+    ``pin=False`` keeps them as scalar subqueries inside one plan."""
     windows: list[DataFrame] = []
-    mark: Column | None = None
+    mark = None
     for k in range(1, n_batches + 1):
         landed = silver.filter(F.col(landing) <= k)
-        w = incremental_window(landed, ts, last=mark, lookback=lookback)
+        if pin:
+            upper = landed.agg(F.max(ts)).first()[0]
+            w = incremental_window(landed, ts, last=mark, upper=upper, lookback=lookback)
+            mx = w.agg(F.max(ts)).first()[0]
+            mark = mx if mx is not None else mark
+        else:
+            w = incremental_window(landed, ts, last=mark, lookback=lookback)
+            mark = advance_mark(w, ts, mark)
         windows.append(w)
-        mark = advance_mark(w, ts, mark)
     return windows
 
 
 def empty(spark, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """An empty table with ``schema`` whose size statistics are zero (a
+    ``Range(0)`` projection), so joins against it plan as broadcasts."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def grow_states(windows: Sequence[DataFrame], start: DataFrame,
-                step: Callable[[DataFrame, DataFrame], DataFrame]) -> list[DataFrame]:
+                step: Callable[[DataFrame, DataFrame], DataFrame],
+                cut: bool = True) -> list[DataFrame]:
     """``states[k]`` = table after batch k (``states[0]`` = ``start``), where
-    ``step(window, table_so_far)`` returns the rows batch k inserts."""
+    ``step(window, table_so_far)`` returns the rows batch k inserts.  With
+    ``cut`` each batch's rows are written (Parquet in the shared folder), as
+    a committed run writes them, so later batches read a table with real
+    statistics instead of re-planning the earlier batches."""
     states = [start]
     for w in windows:
-        states.append(states[-1].unionByName(step(w, states[-1])))
+        rows = step(w, states[-1])
+        if cut:
+            rows = materialize(rows, name="batch-rows")
+        states.append(states[-1].unionByName(rows))
     return states
 
 
@@ -143,17 +165,22 @@ def star_states(silver: DataFrame, n_batches: int,
     if "fact_movies" in wanted:
         wanted.update(FACT_DIMS)
     ws = batch_windows(silver, n_batches)
-    out = {name: grow_states(ws, empty(spark, schema), step)
-           for name, (schema, step) in DIM_STEPS.items() if name in wanted}
+    tasks = {name: (lambda schema=schema, step=step: grow_states(ws, empty(spark, schema), step))
+             for name, (schema, step) in DIM_STEPS.items() if name in wanted}
+    out = run_all(tasks)
     if "genre_junction" in wanted:
         bridge = [empty(spark, S.GENRE_JUNCTION)]
         for k, w in enumerate(ws, start=1):
-            bridge.append(bridge[-1].unionByName(bridge_step(w, out["dim_genre"][k], bridge[-1])))
+            rows = materialize(bridge_step(w, out["dim_genre"][k], bridge[-1]), name="batch-rows")
+            bridge.append(bridge[-1].unionByName(rows))
         out["genre_junction"] = bridge
     if "fact_movies" in wanted:
         fact = [empty(spark, S.FACT_MOVIES)]
         for k, w in enumerate(ws, start=1):
             dims_k = {name: out[name][k] for name in FACT_DIMS}
-            fact.append(fact[-1].unionByName(fact_step(w, dims_k, fact[-1])))
+            rows = fact_step(w, dims_k, fact[-1])
+            if k < n_batches:
+                rows = materialize(rows, name="batch-rows")
+            fact.append(fact[-1].unionByName(rows))
         out["fact_movies"] = fact
     return out

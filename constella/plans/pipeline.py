@@ -25,6 +25,7 @@ from constella.plans.batches import (
     fact_step,
     year_step,
 )
+from constella.plans.concurrent import run_all
 from constella.sources.state import read_state, write_state
 from constella.sources.tables import BATCH, Warehouse
 
@@ -40,6 +41,7 @@ class RunOptions:
     date_grain: str = "timestamp"        # or "day": one dim_date row per day
     sentinel_years: tuple = (4000,)
     empty_genres_as_default: bool = False
+    parallelism: int = 8                 # concurrent dimension steps (1 = sequential)
 
 
 @dataclass(frozen=True)
@@ -83,12 +85,19 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
     steps["dim_date"] = (steps["dim_date"][0], lambda w, d: date_step(w, d, options.date_grain))
     steps["dim_released_year"] = (steps["dim_released_year"][0],
                                   lambda w, d: year_step(w, d, options.sentinel_years))
-    for name in DIM_ORDER:
-        _, step = steps[name]
-        wh.write(name, step(window, wh.read(name, below=n)), n)
-        if name == "dim_genre":
-            wh.write("genre_junction",
-                     bridge_step(window, wh.read("dim_genre", upto=n), wh.read("genre_junction", below=n)), n)
+
+    def load(name: str):
+        def go():
+            _, step = steps[name]
+            wh.write(name, step(window, wh.read(name, below=n)), n)
+            if name == "dim_genre":
+                wh.write("genre_junction",
+                         bridge_step(window, wh.read("dim_genre", upto=n),
+                                     wh.read("genre_junction", below=n)), n)
+        return go
+
+    # independent tables: their jobs are submitted concurrently
+    run_all({name: load(name) for name in DIM_ORDER}, options.parallelism)
 
     dims = {name: wh.read(name, upto=n) for name in FACT_DIMS}
     if options.date_grain == "day":

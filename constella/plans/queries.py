@@ -41,6 +41,7 @@ from constella.plans.sqlgen import (
     with_,
 )
 from constella.plans.standins import CUTS_2, raw_movies, sql_raw_ctes, sql_silver_ctes, table
+from constella.session import materialize
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -54,9 +55,9 @@ def query(name: str, sql: str | None = None):
 
 
 def silver(spark: SparkSession, sf_dir: str, cuts=CUTS_2) -> DataFrame:
-    """Cleaned stand-in rows, materialised once per query (checkpoint in the
-    shared folder) so the many window/dimension steps read it, not the joins."""
-    return clean(raw_movies(spark, sf_dir, cuts), keep=("landing",)).checkpoint(eager=True)
+    """Cleaned stand-in rows, written once per query (Parquet in the shared
+    folder) so the many window/dimension steps read it, not the joins."""
+    return materialize(clean(raw_movies(spark, sf_dir, cuts), keep=("landing",)), name="silver")
 
 
 def _windows(spark, sf_dir, n=2):
@@ -237,7 +238,8 @@ SELECT o_orderkey, o_orderdate,
 FROM orders""")
 def q_dense_key(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return dense_keys(o, ["o_orderdate", "o_orderkey"], "order_seq")
+    # the distributed path (sort, lineage cut, per-partition prefix sums)
+    return dense_keys(o, ["o_orderdate", "o_orderkey"], "order_seq", single_task_limit=None)
 
 
 # --- C3 C4 C5 C6 C7 C8 C9: the gold tables after two batches ---------------------

@@ -13,7 +13,7 @@ from constella.plans.pipeline import committed, run_batch
 from constella.plans.queries import SILVER_OUT, query
 from constella.plans.sqlgen import star_ctes, windows_ctes, with_
 from constella.plans.standins import CUTS_3, raw_movies, sql_silver_ctes, table
-from constella.session import shared_dir
+from constella.session import materialize, shared_dir
 from constella.sources.pages import (
     contiguous_mark,
     landed_movies,
@@ -57,7 +57,7 @@ def _resolved_committed(wh: Warehouse) -> DataFrame:
        RESOLVED.format(n=3))
 def q_batch_end_to_end(spark, sf_dir):
     wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
-    raw = raw_movies(spark, sf_dir, CUTS_3).checkpoint(eager=True)
+    raw = materialize(raw_movies(spark, sf_dir, CUTS_3), name="landed")
     for k in (1, 2, 3):
         run_batch(wh, raw.filter(F.col("landing") == k).drop("landing"))
     return _resolved_committed(wh)

@@ -58,3 +58,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder (never machine-local on a cluster)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, path: str | None = None, name: str = "stage"):
+    """Cut lineage by writing ``df`` as Parquet into the shared folder (or
+    ``path``, overwritten on retry) and reading it back.  Columnar and
+    compressed, and the re-read carries real size statistics for the planner
+    (broadcast decisions) and column pruning, unlike ``checkpoint()``."""
+    spark = df.sparkSession
+    path = path or shared_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -1,9 +1,10 @@
 """Landed page files of a paged JSON API (one envelope per page).
 
 The HTTP fetch is outside Spark; what lands is one JSON envelope
-``{"data": {"movie_count": n, "movies": [...]}}`` per page, under
-``<landing>/page=<n>/``.  Executors read the files directly (no rows pass
-through the driver).  Page planning, missing/failed/partial pages and the
+``{"data": {"movie_count": n, "movies": [...]}}`` per page, either as one
+file per page under ``<landing>/page=<n>/`` (page from the path) or as
+JSON-lines records that carry a ``page`` field.  Executors read the files
+directly (no rows pass through the driver).  Page planning, missing/failed/partial pages and the
 page high-water mark are DataFrame operations over the landed pages.
 """
 
@@ -99,15 +100,20 @@ def contiguous_mark(status: DataFrame, last_page: int | Column) -> Column:
     return F.coalesce(first_open - 1, top, last)
 
 
-def write_pages(rows: DataFrame, landing: str, page_col: str, movie_count: Column, limit: int) -> None:
-    """Land rows as page envelopes under ``landing/page=<n>/`` (test and
-    replay helper).  ``rows`` must carry at most ``limit`` rows per page -- the
-    page size bounds every collected group."""
+def write_pages(rows: DataFrame, landing: str, page_col: str, movie_count: Column, limit: int,
+                one_dir_per_page: bool = False) -> None:
+    """Land rows as page envelopes (test and replay helper): JSON-lines
+    records ``{"data": ..., "page": n}``, or one ``page=<n>/`` folder per page.
+    ``rows`` must carry at most ``limit`` rows per page -- the page size
+    bounds every collected group."""
     movies = [c for c in rows.columns if c != page_col]
     env = (rows.groupBy(F.col(page_col).alias("page"))
                .agg(F.collect_list(F.struct(*movies)).alias("movies"))
-               .select("page", F.struct(movie_count.alias("movie_count"), F.col("movies")).alias("data")))
-    env.write.mode("overwrite").partitionBy("page").json(landing)
+               .select(F.struct(movie_count.alias("movie_count"), F.col("movies")).alias("data"), "page"))
+    writer = env.write.mode("overwrite")
+    if one_dir_per_page:
+        writer = writer.partitionBy("page")
+    writer.json(landing)
 
 
 def page_numbers(rows: DataFrame, rank_col: str, limit: int) -> Column:
