@@ -39,12 +39,12 @@ def one_row_per_key(window: DataFrame, key: str, attrs: Sequence[str]) -> DataFr
 
 
 def new_members(values: DataFrame, dim: DataFrame, natural_key: str, key: str,
-                key_type: str = "bigint") -> DataFrame:
+                key_type: str = "bigint", max_rows: int | None = None) -> DataFrame:
     """Members of ``values`` (unique on ``natural_key``) absent from ``dim``,
     keyed ``max(dim.key) + 1, + 2, ...`` in natural-key order; columns in the
-    dimension's order."""
+    dimension's order.  ``max_rows``: a known bound on ``values``' rows."""
     fresh = absent_from(values, dim, [natural_key])
-    keyed = dense_keys(fresh, [natural_key], key, key_offset(dim, key), key_type)
+    keyed = dense_keys(fresh, [natural_key], key, key_offset(dim, key), key_type, max_rows=max_rows)
     return keyed.select(*dim.columns)
 
 
@@ -71,7 +71,8 @@ def new_date_members(window: DataFrame, ts: str, dim: DataFrame,
 
 
 def new_entity_members(window: DataFrame, natural_key: str, attrs: Sequence[str],
-                       dim: DataFrame, key: str) -> DataFrame:
+                       dim: DataFrame, key: str, max_rows: int | None = None) -> DataFrame:
     """Multi-attribute dimension (the movie): one row per natural key, then
     only keys absent from ``dim``, numbered after its max key."""
-    return new_members(one_row_per_key(window, natural_key, attrs), dim, natural_key, key)
+    return new_members(one_row_per_key(window, natural_key, attrs), dim, natural_key, key,
+                       max_rows=max_rows)

@@ -92,31 +92,37 @@ def grow(windows, start, step) -> DataFrame:
 
 # --- steps of one batch (also used by the committed pipeline) -----------------
 
-def language_step(w, d):
-    return new_members(distinct_values(w, "language"), d, "language", "language_key")
+# ``rows`` (optional) is the window's row count: distinct values of one column
+# cannot outnumber it, so it bounds the members to number.
 
+def language_step(w, d, rows=None):
+    return new_members(distinct_values(w, "language"), d, "language", "language_key", max_rows=rows)
 
-def runtime_step(w, d):
-    return new_members(distinct_values(w, "runtime"), d, "runtime", "runtime_key")
 
+def runtime_step(w, d, rows=None):
+    return new_members(distinct_values(w, "runtime"), d, "runtime", "runtime_key", max_rows=rows)
 
-def rating_step(w, d):
-    return new_members(distinct_values(w, "rating"), d, "rating", "rating_key")
 
+def rating_step(w, d, rows=None):
+    return new_members(distinct_values(w, "rating"), d, "rating", "rating_key", max_rows=rows)
 
-def year_step(w, d, sentinels=SENTINEL_YEARS):
-    return new_members(with_sentinels(distinct_values(w, "year"), "year", sentinels), d, "year", "year_key")
 
+def year_step(w, d, rows=None, sentinels=SENTINEL_YEARS):
+    bound = None if rows is None else rows + len(sentinels)
+    return new_members(with_sentinels(distinct_values(w, "year"), "year", sentinels), d, "year", "year_key",
+                       max_rows=bound)
 
-def date_step(w, d, grain="timestamp", ts=TS):
+
+def date_step(w, d, rows=None, grain="timestamp", ts=TS):
     return new_date_members(w, ts, d, grain)
 
 
-def movie_step(w, d):
-    return new_entity_members(w, "slug", S.MOVIE_ATTRIBUTES, d, "movie_key")
+def movie_step(w, d, rows=None):
+    return new_entity_members(w, "slug", S.MOVIE_ATTRIBUTES, d, "movie_key", max_rows=rows)
 
 
-def genre_step(w, d):
+def genre_step(w, d, rows=None):
+    # exploded arrays: the window's row count bounds nothing, so count
     return new_members(exploded_values(w, "genres", "genre_name"), d, "genre_name", "genre_id", "int")
 
 

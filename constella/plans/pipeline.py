@@ -77,19 +77,27 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
         silver = wh.read("cleaned_data", upto=n, keep_batch=True)
     else:
         silver = _batch(wh, "cleaned_data", n)
-    upper = silver.agg(F.max(TS)).first()[0]
+    # one aggregate gives the pinned upper bound and the run's counters: all
+    # rows with ts > lower are <= max(ts), so the window is exactly them
+    lower = F.col(TS) > _literal(silver, last, options.lookback) if last is not None else F.col(TS).isNotNull()
+    stats = silver.agg(
+        F.max(TS).alias("upper"),
+        F.count(F.when(lower, 1)).alias("rows"),
+        F.count(F.when(F.col(TS).isNull() & (F.col(BATCH) == n), 1)).alias("null_dates"),
+    ).first()
+    upper, window_rows, null_dates = stats["upper"], stats["rows"], stats["null_dates"]
     window = incremental_window(silver, TS, last=last, upper=upper, lookback=options.lookback)
 
     # dimensions: each reads its own table below N and writes batch N
     steps = dict(DIM_STEPS)
-    steps["dim_date"] = (steps["dim_date"][0], lambda w, d: date_step(w, d, options.date_grain))
+    steps["dim_date"] = (steps["dim_date"][0], lambda w, d, rows=None: date_step(w, d, grain=options.date_grain))
     steps["dim_released_year"] = (steps["dim_released_year"][0],
-                                  lambda w, d: year_step(w, d, options.sentinel_years))
+                                  lambda w, d, rows=None: year_step(w, d, rows, options.sentinel_years))
 
     def load(name: str):
         def go():
             _, step = steps[name]
-            wh.write(name, step(window, wh.read(name, below=n)), n)
+            wh.write(name, step(window, wh.read(name, below=n), rows=window_rows), n)
             if name == "dim_genre":
                 wh.write("genre_junction",
                          bridge_step(window, wh.read("dim_genre", upto=n),
@@ -104,18 +112,22 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
         window = window.withColumn("_day", F.date_trunc("day", F.col(TS)))
     wh.write("fact_movies", _fact(window, dims, wh.read("fact_movies", below=n), options), n)
 
-    # commit: the state row, written last
-    counts = window.agg(F.count(F.lit(1)).alias("rows"), F.max(TS).alias("mx")).first()
-    null_dates = _batch(wh, "cleaned_data", n).filter(F.col(TS).isNull()).count()
-    new_last = counts["mx"] if counts["rows"] else last
+    # commit: the state row, written last; an empty window keeps the mark
+    new_last = upper if window_rows else last
     write_state(wh, n, new_last, last_page if last_page is not None else prev_page,
-                counts["rows"], null_dates)
-    return RunResult(n, new_last, counts["rows"], null_dates)
+                window_rows, null_dates)
+    return RunResult(n, new_last, window_rows, null_dates)
+
+
+def _literal(df: DataFrame, last, lookback: str | None):
+    from constella.operators.window import _bound
+    lo = _bound(df, TS, last)
+    return lo - F.expr(f"INTERVAL {lookback}") if lookback else lo
 
 
 def _batch(wh: Warehouse, name: str, n: int) -> DataFrame:
     """Only partition ``batch_id = n`` (pruned scan), with its batch id."""
-    return wh.read(name, upto=n, below=n + 1, keep_batch=True)
+    return wh.read(name, only=n, keep_batch=True)
 
 
 def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions) -> DataFrame:

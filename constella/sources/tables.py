@@ -62,8 +62,9 @@ class Warehouse:
             self._empty(name).write.mode("overwrite").parquet(f"{self.path(name)}/{BATCH}=0")
 
     def read(self, name: str, upto: int | None = None, below: int | None = None,
-             keep_batch: bool = False) -> DataFrame:
-        """Rows of ``name`` with ``batch_id <= upto`` and/or ``batch_id < below``."""
+             keep_batch: bool = False, only: int | None = None) -> DataFrame:
+        """Rows of ``name`` with ``batch_id <= upto`` and/or ``batch_id < below``,
+        or exactly ``batch_id == only``."""
         df = (self.spark.read.schema(with_batch(SCHEMAS[name]))
                   .option("basePath", self.path(name))
                   .parquet(self.path(name)))
@@ -71,6 +72,8 @@ class Warehouse:
             df = df.filter(F.col(BATCH) <= upto)
         if below is not None:
             df = df.filter(F.col(BATCH) < below)
+        if only is not None:
+            df = df.filter(F.col(BATCH) == only)
         return df if keep_batch else df.drop(BATCH)
 
     def write(self, name: str, df: DataFrame, batch_id: int) -> None:

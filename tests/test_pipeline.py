@@ -149,3 +149,13 @@ def test_day_grain_option(spark, scratch):
     assert sorted(r.date for r in dates) == [T(2024, 1, 1), T(2024, 1, 2)]
     keys = {r.movie_id: r.date_key for r in committed(wh, "fact_movies").collect()}
     assert keys[1] == keys[2] == 20240101 and keys[3] == 20240102
+
+
+def test_each_batch_partition_holds_only_its_rows(spark, scratch):
+    wh = new_wh(spark, scratch)
+    run_batch(wh, batch1(spark))
+    r2 = run_batch(wh, batch2(spark))
+    for name in ("raw_data", "cleaned_data"):
+        assert wh.read(name, only=1).count() == 4
+        assert wh.read(name, only=2).count() == 3
+    assert r2.null_date_rows == 0                          # counted for batch 2 alone
