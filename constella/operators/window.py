@@ -61,3 +61,15 @@ def advance_mark(window: DataFrame, ts: str, last: Bound) -> Column:
     lo = _bound(window, ts, last)
     mx = max_of(window, ts)
     return mx if lo is None else F.coalesce(mx, lo)
+
+
+def incremental_window_sql(spark, table: str, ts: str, last, columns: str = "*"):
+    """The window as SQL text over a table or view, with named parameters
+    (no values spliced into the text): ``ts > :last AND ts <= (SELECT max(ts)
+    FROM t)``.  ``last`` is wall-clock text or a datetime."""
+    if isinstance(last, (_dt.datetime, _dt.date)):
+        last = last.isoformat(sep=" ") if isinstance(last, _dt.datetime) else last.isoformat()
+    return spark.sql(
+        f"SELECT {columns} FROM IDENTIFIER(:t) "
+        f"WHERE {ts} > CAST(:last AS TIMESTAMP_NTZ) AND {ts} <= (SELECT max({ts}) FROM IDENTIFIER(:t))",
+        args={"t": table, "last": last})

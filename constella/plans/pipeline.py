@@ -116,6 +116,7 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
     new_last = upper if window_rows else last
     write_state(wh, n, new_last, last_page if last_page is not None else prev_page,
                 window_rows, null_dates)
+    wh.refresh_catalog()
     return RunResult(n, new_last, window_rows, null_dates)
 
 
@@ -143,3 +144,11 @@ def committed(wh: Warehouse, name: str) -> DataFrame:
     """Rows of ``name`` in committed batches only."""
     st = read_state(wh)
     return wh.read(name, upto=st["batch_id"] if st else 0)
+
+
+def committed_sql(wh: Warehouse, name: str) -> DataFrame:
+    """The same through the catalog table (``register_tables`` first), as SQL
+    with a named parameter for the committed batch."""
+    st = read_state(wh)
+    return wh.spark.sql(f"SELECT * EXCEPT ({BATCH}) FROM IDENTIFIER(:t) WHERE {BATCH} <= :b",
+                        args={"t": wh.table_name(name), "b": st["batch_id"] if st else 0})

@@ -7,6 +7,7 @@ torrent, part = movie entity.  Two landing batches split at 1998-01-01.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +24,7 @@ from constella.operators import (
     distinct_values,
     exploded_values,
     incremental_window,
+    incremental_window_sql,
     insert_only,
     max_of,
     new_date_members,
@@ -80,6 +82,18 @@ def q_window(spark, sf_dir):
             .select("o_orderkey", "o_orderdate", "o_orderpriority"))
 
 
+# --- S7 S8 F3: the same window as parameterised SQL over a catalog view --------
+@query("q_window_sql", """
+SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders
+WHERE o_orderdate > TIMESTAMP '1998-01-01'
+  AND o_orderdate <= (SELECT max(o_orderdate) FROM orders)""")
+def q_window_sql(spark, sf_dir):
+    view = f"orders_{uuid.uuid4().hex[:8]}"
+    table(spark, sf_dir, "orders").createOrReplaceTempView(view)
+    return incremental_window_sql(spark, view, "o_orderdate", "1998-01-01",
+                                  "o_orderkey, o_orderdate, o_orderpriority")
+
+
 @query("q_window_batches", W2 + """
 SELECT movie_id, date_uploaded, CAST(1 AS INTEGER) AS batch FROM w1
 UNION ALL SELECT movie_id, date_uploaded, CAST(2 AS INTEGER) AS batch FROM w2""")

@@ -4,12 +4,14 @@ checkpoint folder (``spark.checkpoint.dir``)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from constella.operators import dense_keys
 from constella.operators.clean import clean
-from constella.plans.pipeline import committed, run_batch
+from constella.plans.pipeline import committed, committed_sql, run_batch
 from constella.plans.queries import SILVER_OUT, query
 from constella.plans.sqlgen import star_ctes, windows_ctes, with_
 from constella.plans.standins import CUTS_3, raw_movies, sql_silver_ctes, table
@@ -48,8 +50,9 @@ LEFT JOIN dy_{n} y ON y.year_key = f.year_key"""
 
 
 def _resolved_committed(wh: Warehouse) -> DataFrame:
+    read = committed_sql if wh.registered else committed
     names = ["dim_movie", "dim_language", "dim_runtime", "dim_rating", "dim_released_year"]
-    return resolve_fact(committed(wh, "fact_movies"), {n: committed(wh, n) for n in names})
+    return resolve_fact(read(wh, "fact_movies"), {n: read(wh, n) for n in names})
 
 
 # --- C10: three committed batches end to end ------------------------------------
@@ -57,6 +60,7 @@ def _resolved_committed(wh: Warehouse) -> DataFrame:
        RESOLVED.format(n=3))
 def q_batch_end_to_end(spark, sf_dir):
     wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    wh.register_tables(prefix=f"wh{uuid.uuid4().hex[:8]}")   # S16 S17: namespaces + tables
     raw = materialize(raw_movies(spark, sf_dir, CUTS_3), name="landed")
     for k in (1, 2, 3):
         run_batch(wh, raw.filter(F.col("landing") == k).drop("landing"))

@@ -38,6 +38,8 @@ def with_batch(schema: StructType) -> StructType:
 class Warehouse:
     spark: SparkSession
     root: str
+    catalog_prefix: str | None = None    # set by register_tables()
+    registered: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{LAYERS[name]}/{name}"
@@ -85,3 +87,38 @@ class Warehouse:
         """Temp views ``<name>`` over the committed rows, for ``spark.table`` / SQL."""
         for name in SCHEMAS:
             self.read(name, upto=upto).createOrReplaceTempView(name)
+
+    # --- catalog registration (namespaces + external partitioned tables) ------
+
+    def table_name(self, name: str) -> str:
+        prefix = f"{self.catalog_prefix}_" if self.catalog_prefix else ""
+        return f"{prefix}{LAYERS[name]}.{name}"
+
+    def register_tables(self, prefix: str = "") -> "Warehouse":
+        """Idempotent: ``CREATE DATABASE IF NOT EXISTS`` per layer and
+        ``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY (batch_id)
+        LOCATION`` per table (external: dropping keeps the files)."""
+        self.catalog_prefix = prefix or None
+        self.registered = True
+        for layer in sorted(set(LAYERS.values())):
+            db = f"{prefix}_{layer}" if prefix else layer
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        for name in SCHEMAS:
+            cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
+                             for f in with_batch(SCHEMAS[name]).fields)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table_name(name)} ({cols}) USING parquet "
+                           f"PARTITIONED BY ({BATCH}) LOCATION '{self.path(name)}'")
+        self.refresh_catalog()
+        return self
+
+    def refresh_catalog(self) -> None:
+        """Make batch directories written since the last call visible to the catalog."""
+        if not self.registered:
+            return
+        for name in SCHEMAS:
+            self.spark.sql(f"ALTER TABLE {self.table_name(name)} RECOVER PARTITIONS")
+
+    def drop_tables(self, names: list[str] | None = None) -> None:
+        """``DROP TABLE IF EXISTS`` (metadata only; the Parquet files stay)."""
+        for name in names or [n for n in SCHEMAS if LAYERS[n] in ("silver", "gold")]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table_name(name)}")

@@ -159,3 +159,18 @@ def test_each_batch_partition_holds_only_its_rows(spark, scratch):
         assert wh.read(name, only=1).count() == 4
         assert wh.read(name, only=2).count() == 3
     assert r2.null_date_rows == 0                          # counted for batch 2 alone
+
+
+def test_catalog_tables_drop_and_reset(spark, scratch):
+    from constella.plans.pipeline import committed_sql
+    wh = new_wh(spark, scratch)
+    wh.register_tables(prefix="t_cat")
+    wh.register_tables(prefix="t_cat")                      # idempotent
+    run_batch(wh, batch1(spark))
+    assert committed_sql(wh, "fact_movies").count() == committed(wh, "fact_movies").count() == 3
+    assert spark.table("t_cat_gold.dim_language").count() >= 2
+    wh.drop_tables()
+    assert not spark.catalog.tableExists("t_cat_gold.fact_movies")
+    assert committed(wh, "fact_movies").count() == 3        # external: files stay
+    wh.reset()
+    assert committed(wh, "fact_movies").count() == 0 and read_state(wh) is None
