@@ -43,7 +43,7 @@ def new_members(values: DataFrame, dim: DataFrame, natural_key: str, key: str,
     """Members of ``values`` (unique on ``natural_key``) absent from ``dim``,
     keyed ``max(dim.key) + 1, + 2, ...`` in natural-key order; columns in the
     dimension's order.  ``max_rows``: a known bound on ``values``' rows."""
-    fresh = absent_from(values, dim, [natural_key])
+    fresh = absent_from(values, dim, [natural_key], src_rows=max_rows)
     keyed = dense_keys(fresh, [natural_key], key, key_offset(dim, key), key_type, max_rows=max_rows)
     return keyed.select(*dim.columns)
 
@@ -59,13 +59,13 @@ def with_sentinels(values: DataFrame, column: str, sentinels: Sequence[object])
 
 
 def new_date_members(window: DataFrame, ts: str, dim: DataFrame,
-                     grain: str = "timestamp") -> DataFrame:
+                     grain: str = "timestamp", max_rows: int | None = None) -> DataFrame:
     """Date-dimension rows for timestamps (or days) not in ``dim`` yet.
     The key is derived (``yyyyMMdd``), not numbered."""
     days = (window.select(date_grain(ts, grain).alias("date"))
                   .where(F.col("date").isNotNull())
                   .distinct())
-    fresh = absent_from(days, dim, ["date"], null_safe=False)
+    fresh = absent_from(days, dim, ["date"], null_safe=False, src_rows=max_rows)
     attrs = date_attributes("date")
     return fresh.select(*[attrs[c].alias(c) for c in DATE_ATTRIBUTES])
 

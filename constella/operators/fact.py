@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from constella.operators.merge import absent_from
+from constella.operators.merge import absent_from, reduce_to_probe
 
 
 @dataclass(frozen=True)
@@ -55,6 +55,12 @@ def fact_rows(src: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str])
     return lookup_keys(src, lookups).select(*columns)
 
 
-def new_fact_rows(rows: DataFrame, fact: DataFrame, id_col: str = "movie_id") -> DataFrame:
-    """Insert-only: rows whose id the fact table does not hold yet."""
+def new_fact_rows(rows: DataFrame, fact: DataFrame, id_col: str = "movie_id",
+                  probe: DataFrame | None = None, probe_rows: int | None = None) -> DataFrame:
+    """Insert-only: rows whose id the fact table does not hold yet.  With a
+    cheap ``probe`` of the candidate ids (e.g. the window) and a proven bound
+    on its rows, the fact history is first reduced to those ids by a
+    broadcast semi-join, so it is not shuffled as a whole."""
+    if probe is not None:
+        fact = reduce_to_probe(fact, probe, [id_col], probe_rows, null_safe=False)
     return absent_from(rows, fact, [id_col], null_safe=False).select(*fact.columns)

@@ -114,7 +114,7 @@ def year_step(w, d, rows=None, sentinels=SENTINEL_YEARS):
 
 
 def date_step(w, d, rows=None, grain="timestamp", ts=TS):
-    return new_date_members(w, ts, d, grain)
+    return new_date_members(w, ts, d, grain, max_rows=rows)
 
 
 def movie_step(w, d, rows=None):
@@ -126,8 +126,8 @@ def genre_step(w, d, rows=None):
     return new_members(exploded_values(w, "genres", "genre_name"), d, "genre_name", "genre_id", "int")
 
 
-def bridge_step(w, dim_genre, existing):
-    return bridge_rows(w, "movie_id", "genres", dim_genre, "genre_name", "genre_id", existing)
+def bridge_step(w, dim_genre, existing, rows=None):
+    return bridge_rows(w, "movie_id", "genres", dim_genre, "genre_name", "genre_id", existing, rows)
 
 
 def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) -> list[Lookup]:
@@ -141,9 +141,10 @@ def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) ->
     ]
 
 
-def fact_step(w, dims, existing, order_first=("landing",)):
+def fact_step(w, dims, existing, order_first=("landing",), rows=None):
     src = one_row_per_id(w, "movie_id", [*order_first, *FACT_SOURCE])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS), existing)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS), existing,
+                         probe=w, probe_rows=rows)
 
 
 DIM_STEPS = {

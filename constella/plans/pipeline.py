@@ -90,7 +90,7 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
 
     # dimensions: each reads its own table below N and writes batch N
     steps = dict(DIM_STEPS)
-    steps["dim_date"] = (steps["dim_date"][0], lambda w, d, rows=None: date_step(w, d, grain=options.date_grain))
+    steps["dim_date"] = (steps["dim_date"][0], lambda w, d, rows=None: date_step(w, d, rows, grain=options.date_grain))
     steps["dim_released_year"] = (steps["dim_released_year"][0],
                                   lambda w, d, rows=None: year_step(w, d, rows, options.sentinel_years))
 
@@ -101,7 +101,7 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
             if name == "dim_genre":
                 wh.write("genre_junction",
                          bridge_step(window, wh.read("dim_genre", upto=n),
-                                     wh.read("genre_junction", below=n)), n)
+                                     wh.read("genre_junction", below=n), window_rows), n)
         return go
 
     # independent tables: their jobs are submitted concurrently
@@ -110,7 +110,7 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
     dims = {name: wh.read(name, upto=n) for name in FACT_DIMS}
     if options.date_grain == "day":
         window = window.withColumn("_day", F.date_trunc("day", F.col(TS)))
-    wh.write("fact_movies", _fact(window, dims, wh.read("fact_movies", below=n), options), n)
+    wh.write("fact_movies", _fact(window, dims, wh.read("fact_movies", below=n), options, window_rows), n)
 
     # commit: the state row, written last; an empty window keeps the mark
     new_last = upper if window_rows else last
@@ -131,13 +131,15 @@ def _batch(wh: Warehouse, name: str, n: int) -> DataFrame:
     return wh.read(name, only=n, keep_batch=True)
 
 
-def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions) -> DataFrame:
+def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions,
+          rows: int | None = None) -> DataFrame:
     from constella.plans.batches import FACT_COLUMNS, FACT_SOURCE, fact_lookups
     from constella.operators import fact_rows, new_fact_rows, one_row_per_id
     if options.date_grain != "day":
-        return fact_step(window, dims, existing, order_first=(BATCH,))
+        return fact_step(window, dims, existing, order_first=(BATCH,), rows=rows)
     src = one_row_per_id(window, "movie_id", [BATCH, *FACT_SOURCE, "_day"])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS), existing)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS), existing,
+                         probe=window, probe_rows=rows)
 
 
 def committed(wh: Warehouse, name: str) -> DataFrame:
