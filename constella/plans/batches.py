@@ -47,19 +47,34 @@ def batch_windows(silver: DataFrame, n_batches: int, ts: str = TS,
     bound and mark once -- one scalar each to the driver, as a run does --
     so the many steps reading a window do not re-run the bound aggregates;
     ``pin=False`` keeps them as scalar subqueries inside one plan."""
-    windows: list[DataFrame] = []
+    return [w for w, _ in pinned_windows(silver, n_batches, ts, landing, lookback)] if pin else \
+        _subquery_windows(silver, n_batches, ts, landing, lookback)
+
+
+def pinned_windows(silver: DataFrame, n_batches: int, ts: str = TS, landing: str = "landing",
+                   lookback: str | None = None) -> list[tuple[DataFrame, int]]:
+    """``(window, row count)`` per batch; one aggregate job per batch gives the
+    upper bound, and one the window's count and max (the next mark)."""
+    out: list[tuple[DataFrame, int]] = []
     mark = None
     for k in range(1, n_batches + 1):
         landed = silver.filter(F.col(landing) <= k)
-        if pin:
-            upper = landed.agg(F.max(ts)).first()[0]
-            w = incremental_window(landed, ts, last=mark, upper=upper, lookback=lookback)
-            mx = w.agg(F.max(ts)).first()[0]
-            mark = mx if mx is not None else mark
-        else:
-            w = incremental_window(landed, ts, last=mark, lookback=lookback)
-            mark = advance_mark(w, ts, mark)
+        upper = landed.agg(F.max(ts)).first()[0]
+        w = incremental_window(landed, ts, last=mark, upper=upper, lookback=lookback)
+        st = w.agg(F.max(ts).alias("mx"), F.count(F.lit(1)).alias("n")).first()
+        mark = st["mx"] if st["mx"] is not None else mark
+        out.append((w, st["n"]))
+    return out
+
+
+def _subquery_windows(silver, n_batches, ts, landing, lookback) -> list[DataFrame]:
+    windows: list[DataFrame] = []
+    mark: Column | None = None
+    for k in range(1, n_batches + 1):
+        landed = silver.filter(F.col(landing) <= k)
+        w = incremental_window(landed, ts, last=mark, lookback=lookback)
         windows.append(w)
+        mark = advance_mark(w, ts, mark)
     return windows
 
 
@@ -70,16 +85,16 @@ def empty(spark, schema: StructType) -> DataFrame:
 
 
 def grow_states(windows: Sequence[DataFrame], start: DataFrame,
-                step: Callable[[DataFrame, DataFrame], DataFrame],
-                cut: bool = True) -> list[DataFrame]:
+                step: Callable[..., DataFrame],
+                cut: bool = True, counts: Sequence[int] | None = None) -> list[DataFrame]:
     """``states[k]`` = table after batch k (``states[0]`` = ``start``), where
     ``step(window, table_so_far)`` returns the rows batch k inserts.  With
     ``cut`` each batch's rows are written (Parquet in the shared folder), as
     a committed run writes them, so later batches read a table with real
     statistics instead of re-planning the earlier batches."""
     states = [start]
-    for w in windows:
-        rows = step(w, states[-1])
+    for i, w in enumerate(windows):
+        rows = step(w, states[-1]) if counts is None else step(w, states[-1], rows=counts[i])
         if cut:
             rows = materialize(rows, name="batch-rows")
         states.append(states[-1].unionByName(rows))
@@ -171,21 +186,24 @@ def star_states(silver: DataFrame, n_batches: int,
         wanted.add("dim_genre")
     if "fact_movies" in wanted:
         wanted.update(FACT_DIMS)
-    ws = batch_windows(silver, n_batches)
-    tasks = {name: (lambda schema=schema, step=step: grow_states(ws, empty(spark, schema), step))
+    pinned = pinned_windows(silver, n_batches)
+    ws, counts = [w for w, _ in pinned], [n for _, n in pinned]
+    tasks = {name: (lambda schema=schema, step=step: grow_states(ws, empty(spark, schema), step,
+                                                                 counts=counts))
              for name, (schema, step) in DIM_STEPS.items() if name in wanted}
     out = run_all(tasks)
     if "genre_junction" in wanted:
         bridge = [empty(spark, S.GENRE_JUNCTION)]
         for k, w in enumerate(ws, start=1):
-            rows = materialize(bridge_step(w, out["dim_genre"][k], bridge[-1]), name="batch-rows")
+            rows = materialize(bridge_step(w, out["dim_genre"][k], bridge[-1], counts[k - 1]),
+                               name="batch-rows")
             bridge.append(bridge[-1].unionByName(rows))
         out["genre_junction"] = bridge
     if "fact_movies" in wanted:
         fact = [empty(spark, S.FACT_MOVIES)]
         for k, w in enumerate(ws, start=1):
             dims_k = {name: out[name][k] for name in FACT_DIMS}
-            rows = fact_step(w, dims_k, fact[-1])
+            rows = fact_step(w, dims_k, fact[-1], rows=counts[k - 1])
             if k < n_batches:
                 rows = materialize(rows, name="batch-rows")
             fact.append(fact[-1].unionByName(rows))
