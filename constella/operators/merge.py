@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 # A probe side proven (by the caller's count) to hold at most this many key
 # rows is broadcast to reduce a large target before the anti-join.
-BROADCAST_KEYS_LIMIT = 2_000_000
+BROADCAST_KEYS_LIMIT = 1_000_000
 
 
 def _match(left: str, right: str, keys: Sequence[str], null_safe: bool):

@@ -63,3 +63,18 @@ def test_plan_status_and_mark(spark):
     first_bad = spark.createDataFrame([(3, 5, True)], "page long, n_movies long, failed boolean")
     st3 = page_status(plan, first_bad, 5)
     assert st3.select(contiguous_mark(st3, 2)).first()[0] == 2
+
+
+def test_multiline_page_files(spark, scratch):
+    import json
+    import os
+    landing = f"{scratch}/ml"
+    for page, ids in [(1, [1, 2]), (2, [3])]:
+        os.makedirs(f"{landing}/page={page}")
+        doc = {"data": {"movie_count": 3, "movies": [{"id": i, "slug": f"s{i}", "rating": 5} for i in ids]}}
+        with open(f"{landing}/page={page}/p.json", "w") as fh:
+            json.dump(doc, fh, indent=2)
+    pages = read_pages(spark, landing, multiline=True)
+    assert {r.page: r.n_movies for r in pages.collect()} == {1: 2, 2: 1}
+    movies = landed_movies(pages, keep_page=True).collect()
+    assert sorted((r.page, r.id, r.rating) for r in movies) == [(1, 1, 5.0), (1, 2, 5.0), (2, 3, 5.0)]
