@@ -154,3 +154,36 @@ def committed_sql(wh: Warehouse, name: str) -> DataFrame:
     st = read_state(wh)
     return wh.spark.sql(f"SELECT * EXCEPT ({BATCH}) FROM IDENTIFIER(:t) WHERE {BATCH} <= :b",
                         args={"t": wh.table_name(name), "b": st["batch_id"] if st else 0})
+
+
+def run_landed(wh: Warehouse, landing: str, limit: int = 50, options: RunOptions = RunOptions(),
+               multiline: bool = False) -> RunResult | None:
+    """One run over a landing folder of page envelopes (the daily trigger).
+
+    Pages after the committed page mark are planned from the newest
+    ``movie_count``; nothing runs when no page is new.  The contiguous run of
+    landed pages after the mark is loaded (up to the first missing or failed
+    page); the new page mark stops before the first missing, failed or partly
+    filled page, so a partly filled page is read again next time (the
+    insert-only loads make the overlap harmless)."""
+    from constella.sources.pages import (
+        contiguous_mark,
+        landed_movies,
+        landed_prefix,
+        page_plan,
+        page_status,
+        read_pages,
+        total_pages,
+    )
+    spark = wh.spark
+    prev = read_state(wh)
+    last_page = prev["last_page"] if prev else 0
+    pages = read_pages(spark, landing, multiline)
+    max_page = pages.select(total_pages(pages, limit)).first()[0] or 0
+    if last_page >= max_page:
+        return None
+    status = page_status(page_plan(spark, last_page, max_page), pages, limit)
+    bounds = status.select(contiguous_mark(status, last_page), landed_prefix(status, last_page)).first()
+    mark, upto = bounds[0], bounds[1]
+    fresh = pages.filter((F.col("page") > last_page) & (F.col("page") <= upto) & ~F.col("failed"))
+    return run_batch(wh, landed_movies(fresh), options=options, last_page=mark)

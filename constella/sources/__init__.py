@@ -3,6 +3,7 @@
 from constella.sources.pages import (
     contiguous_mark,
     landed_movies,
+    landed_prefix,
     page_plan,
     page_stats,
     page_status,
@@ -14,7 +15,7 @@ from constella.sources.state import committed_state, read_state, write_state
 from constella.sources.tables import Warehouse
 
 __all__ = [
-    "Warehouse", "committed_state", "contiguous_mark", "landed_movies", "page_plan",
+    "Warehouse", "committed_state", "contiguous_mark", "landed_movies", "landed_prefix", "page_plan",
     "page_stats", "page_status", "read_pages", "read_state", "total_pages", "write_pages",
     "write_state",
 ]

@@ -100,6 +100,17 @@ def contiguous_mark(status: DataFrame, last_page: int | Column) -> Column:
     return F.coalesce(first_open - 1, top, last)
 
 
+def landed_prefix(status: DataFrame, last_page: int | Column) -> Column:
+    """Last page of the contiguous run of landed pages after ``last_page``
+    (partly filled pages included; a missing or failed page ends it).  Rows
+    of pages after a gap are not loaded yet: loading them first would move
+    the date mark past the gap's rows, which would then never qualify."""
+    last = last_page if isinstance(last_page, Column) else F.lit(last_page).cast("bigint")
+    first_gap = status.select(F.min(F.when(F.col("status").isin("missing", "failed"), F.col("page")))).scalar()
+    top = status.select(F.max("page")).scalar()
+    return F.coalesce(first_gap - 1, top, last)
+
+
 def write_pages(rows: DataFrame, landing: str, page_col: str, movie_count: Column, limit: int,
                 one_dir_per_page: bool = False) -> None:
     """Land rows as page envelopes (test and replay helper): JSON-lines

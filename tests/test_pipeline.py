@@ -174,3 +174,35 @@ def test_catalog_tables_drop_and_reset(spark, scratch):
     assert committed(wh, "fact_movies").count() == 3        # external: files stay
     wh.reset()
     assert committed(wh, "fact_movies").count() == 0 and read_state(wh) is None
+
+
+def test_run_landed_page_mark(spark, scratch):
+    import shutil
+    from pyspark.sql import functions as F
+
+    from constella.plans.pipeline import run_landed
+    from constella.sources.pages import write_pages
+
+    def land(folder, ids, pages, count):
+        rows = raw_df(spark, [movie(i, date=f"2024-01-{i:02d} 00:00:00") for i in ids])
+        rows = rows.withColumn("page", ((F.col("id") - 1) / 3).cast("long") + 1).filter(F.col("page").isin(pages))
+        write_pages(rows, folder, "page", F.lit(count).cast("long"), 3, one_dir_per_page=True)
+
+    landing = f"{scratch}/landing"
+    land(landing, range(1, 15), [1, 2, 4, 5], 14)         # page 3 missing, page 5 partial (2 of 3)
+    wh = new_wh(spark, scratch)
+    r = run_landed(wh, landing, limit=3)
+    assert read_state(wh)["last_page"] == 2                 # stops before the gap (H10)
+    assert r.window_rows == 6                               # pages after the gap wait
+    assert sorted(x.movie_id for x in committed(wh, "fact_movies").collect()) == [1, 2, 3, 4, 5, 6]
+    shutil.rmtree(landing)
+    land(landing, range(1, 15), [1, 2, 3, 4, 5], 14)        # gap filled; page 5 still partial
+    run_landed(wh, landing, limit=3)
+    assert read_state(wh)["last_page"] == 4                 # partial page stays open (H11)
+    assert sorted(x.movie_id for x in committed(wh, "fact_movies").collect()) == list(range(1, 15))
+    shutil.rmtree(landing)
+    land(landing, range(1, 16), [1, 2, 3, 4, 5], 15)        # last page now full
+    run_landed(wh, landing, limit=3)
+    assert read_state(wh)["last_page"] == 5
+    assert sorted(x.movie_id for x in committed(wh, "fact_movies").collect()) == list(range(1, 16))
+    assert run_landed(wh, landing, limit=3) is None         # nothing new (F7)
