@@ -19,6 +19,7 @@ from constella.session import materialize, shared_dir
 from constella.sources.pages import (
     contiguous_mark,
     landed_movies,
+    landed_prefix,
     page_numbers,
     page_plan,
     page_status,
@@ -136,7 +137,9 @@ def q_page_plan(spark, sf_dir):
 SELECT max(page) AS max_page, count(*) FILTER (WHERE status = 'missing') AS n_missing,
        min(page) FILTER (WHERE status = 'missing') AS first_missing,
        CAST(coalesce(min(page) FILTER (WHERE status <> 'landed' OR NOT coalesce(complete, false)) - 1,
-                     max(page), 0) AS BIGINT) AS mark
+                     max(page), 0) AS BIGINT) AS mark,
+       CAST(coalesce(min(page) FILTER (WHERE status IN ('missing', 'failed')) - 1, max(page), 0) AS BIGINT)
+         AS load_upto
 FROM st""")
 def q_missing_pages(spark, sf_dir):
     stats, max_page = _standin_pages(spark, sf_dir)
@@ -145,4 +148,4 @@ def q_missing_pages(spark, sf_dir):
         F.max("page").alias("max_page"),
         F.count(F.when(F.col("status") == "missing", 1)).alias("n_missing"),
         F.min(F.when(F.col("status") == "missing", F.col("page"))).alias("first_missing"),
-    ).select("*", contiguous_mark(st, 0).alias("mark"))
+    ).select("*", contiguous_mark(st, 0).alias("mark"), landed_prefix(st, 0).alias("load_upto"))
