@@ -26,7 +26,6 @@ from constella.operators import (
     incremental_window,
     incremental_window_sql,
     insert_only,
-    max_of,
     new_date_members,
     new_members,
     rows_missing_date,
@@ -36,7 +35,6 @@ from constella.plans.batches import TS, batch_windows, empty, grow, star_states
 from constella.plans.sqlgen import (
     genre_ctes,
     grow_date_ctes,
-    grow_dim_ctes,
     simple_dims_ctes,
     star_ctes,
     windows_ctes,
@@ -337,7 +335,7 @@ def q_merge_insert(spark, sf_dir):
     return target.unionByName(insert_only(source, target, ["movie_id"], null_safe=False))
 
 
-__all__ = ["REGISTRY", "query", "silver", "max_of"]
+__all__ = ["REGISTRY", "query", "silver"]
 
 
 # run-level queries (pipeline, landed pages, stream) register themselves
