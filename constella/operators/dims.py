@@ -17,6 +17,7 @@ from pyspark.sql.types import StructField, StructType
 from constella.functions.dates import DATE_ATTRIBUTES, date_attributes, date_grain
 from constella.operators.keys import dense_keys, key_offset
 from constella.operators.merge import absent_from
+from constella.sources.literal import literal_rows
 
 
 def distinct_values(window: DataFrame, column: str, alias: str | None = None) -> DataFrame:
@@ -52,9 +53,8 @@ def with_sentinels(values: DataFrame, column: str, sentinels: Sequence[object])
     """``values UNION ALL sentinel rows``, de-duplicated."""
     if not sentinels:
         return values
-    spark = values.sparkSession
     schema = StructType([StructField(column, values.schema[column].dataType, True)])
-    extra = spark.createDataFrame([(s,) for s in sentinels], schema)
+    extra = literal_rows(values.sparkSession, schema, [(s,) for s in sentinels])
     return values.select(column).unionByName(extra).distinct()
 
 

@@ -33,6 +33,7 @@ from constella.operators import (
 from constella.operators.window import advance_mark, incremental_window
 from constella.plans.concurrent import run_all
 from constella.session import materialize
+from constella.sources.literal import empty_table
 
 TS = "date_uploaded"
 SENTINEL_YEARS = (4000,)
@@ -79,9 +80,9 @@ def _subquery_windows(silver, n_batches, ts, landing, lookback) -> list[DataFram
 
 
 def empty(spark, schema: StructType) -> DataFrame:
-    """An empty table with ``schema`` whose size statistics are zero (a
-    ``Range(0)`` projection), so joins against it plan as broadcasts."""
-    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """An empty table with ``schema`` whose size statistics are zero, so joins
+    against it plan as broadcasts (see ``sources.literal``)."""
+    return empty_table(spark, schema)
 
 
 def grow_states(windows: Sequence[DataFrame], start: DataFrame,

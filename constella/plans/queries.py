@@ -42,6 +42,7 @@ from constella.plans.sqlgen import (
 )
 from constella.plans.standins import CUTS_2, raw_movies, sql_raw_ctes, sql_silver_ctes, table
 from constella.session import materialize
+from constella.sources.literal import literal_rows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -318,7 +319,7 @@ def q_count_max(spark, sf_dir):
 SELECT DISTINCT year FROM w1 UNION ALL SELECT CAST(4000 AS BIGINT) AS year""")
 def q_union(spark, sf_dir):
     w1 = _windows(spark, sf_dir)[0]
-    sentinel = spark.createDataFrame([(4000,)], StructType([StructField("year", LongType())]))
+    sentinel = literal_rows(spark, StructType([StructField("year", LongType())]), [(4000,)])
     return distinct_values(w1, "year").union(sentinel)
 
 

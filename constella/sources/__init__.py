@@ -11,11 +11,12 @@ from constella.sources.pages import (
     total_pages,
     write_pages,
 )
+from constella.sources.literal import empty_table, literal_rows
 from constella.sources.state import committed_state, read_state, write_state
 from constella.sources.tables import Warehouse
 
 __all__ = [
-    "Warehouse", "committed_state", "contiguous_mark", "landed_movies", "landed_prefix", "page_plan",
+    "Warehouse", "committed_state", "empty_table", "literal_rows", "contiguous_mark", "landed_movies", "landed_prefix", "page_plan",
     "page_stats", "page_status", "read_pages", "read_state", "total_pages", "write_pages",
     "write_state",
 ]

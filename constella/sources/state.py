@@ -13,6 +13,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from constella import schemas as S
+from constella.sources.literal import literal_rows
 from constella.sources.tables import Warehouse
 
 
@@ -31,4 +32,4 @@ def write_state(wh: Warehouse, batch_id: int, last_date, last_page, window_rows:
                 null_date_rows: int) -> None:
     row = (batch_id, last_date, last_page, window_rows, null_date_rows,
            dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
-    wh.write("state", wh.spark.createDataFrame([row], S.STATE), batch_id)
+    wh.write("state", literal_rows(wh.spark, S.STATE, [row]), batch_id)

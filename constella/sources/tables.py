@@ -52,8 +52,9 @@ class Warehouse:
         return self
 
     def _empty(self, name: str) -> DataFrame:
+        from constella.sources.literal import empty_table
         schema = StructType([f for f in SCHEMAS[name].fields if f.name != BATCH])
-        return self.spark.createDataFrame([], schema)
+        return empty_table(self.spark, schema)
 
     def reset(self, names: list[str] | None = None) -> None:
         """Explicit reset (never part of setup): every batch of the tables is
