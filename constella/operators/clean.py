@@ -9,7 +9,10 @@ from constella.functions.nested import default_array, first_element, parse_times
 from constella.schemas import SILVER_COLUMNS
 
 
-def clean(raw: DataFrame, default_genre: str = "other",
+DEFAULT_GENRE = "other"   # fixed value: genre of movies without genres
+
+
+def clean(raw: DataFrame, default_genre: str = DEFAULT_GENRE,
           empty_genres_as_default: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """Raw movie rows -> the 25 silver columns.
 

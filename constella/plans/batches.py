@@ -36,7 +36,7 @@ from constella.session import materialize
 from constella.sources.literal import empty_table
 
 TS = "date_uploaded"
-SENTINEL_YEARS = (4000,)
+SENTINEL_YEARS = (4000,)          # fixed value: sentinel member of the year dimension
 FACT_SOURCE = ["imdb_code", "slug", "date_uploaded", "language", "runtime", "rating", "year"]
 FACT_COLUMNS = [f.name for f in S.FACT_MOVIES.fields]
 

@@ -206,3 +206,19 @@ def test_run_landed_page_mark(spark, scratch):
     assert read_state(wh)["last_page"] == 5
     assert sorted(x.movie_id for x in committed(wh, "fact_movies").collect()) == list(range(1, 16))
     assert run_landed(wh, landing, limit=3) is None         # nothing new (F7)
+
+
+def test_lookback_readmits_late_rows_once(spark, scratch):
+    wh = new_wh(spark, scratch)
+    run_batch(wh, raw_df(spark, [movie(1, date="2024-01-10 00:00:00", language="en")]))
+    late = raw_df(spark, [movie(2, date="2024-01-08 00:00:00", language="fr"),     # older than the mark
+                          movie(3, date="2024-01-11 00:00:00", language="en")])
+    plain = new_wh(spark, scratch, "plain")
+    run_batch(plain, raw_df(spark, [movie(1, date="2024-01-10 00:00:00", language="en")]))
+    run_batch(plain, late)
+    assert sorted(r.movie_id for r in committed(plain, "fact_movies").collect()) == [1, 3]   # H19 as coded
+    r = run_batch(wh, late, options=RunOptions(lookback="3 days"))
+    assert r.window_rows == 3                              # movie 1 again, plus 2 and 3
+    assert sorted(r.movie_id for r in committed(wh, "fact_movies").collect()) == [1, 2, 3]
+    langs = sorted(x.language for x in committed(wh, "dim_language").collect())
+    assert langs == ["en", "fr"]
