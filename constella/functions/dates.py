@@ -19,7 +19,8 @@ def date_grain(ts: str | Column, grain: str = "timestamp") -> Column:
     if grain == "timestamp":
         return c
     if grain == "day":
-        return F.date_trunc("day", c)
+        # via DATE: no session time zone is involved for timestamp_ntz
+        return c.cast("date").cast("timestamp_ntz")
     raise ValueError(f"unknown grain {grain!r}")
 
 

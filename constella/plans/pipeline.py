@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from constella.functions.dates import date_grain
 from constella.operators import clean, incremental_window
 from constella.plans.batches import (
     DIM_STEPS,
@@ -109,7 +110,7 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
 
     dims = {name: wh.read(name, upto=n) for name in FACT_DIMS}
     if options.date_grain == "day":
-        window = window.withColumn("_day", F.date_trunc("day", F.col(TS)))
+        window = window.withColumn("_day", date_grain(TS, "day"))
     wh.write("fact_movies", _fact(window, dims, wh.read("fact_movies", below=n), options, window_rows), n)
 
     # commit: the state row, written last; an empty window keeps the mark

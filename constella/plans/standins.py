@@ -48,7 +48,9 @@ def first_lines(lineitem: DataFrame) -> DataFrame:
 
 
 def _unix(ts: str) -> F.Column:
-    return F.unix_seconds(F.col(ts).cast("timestamp"))
+    """Unix seconds of a wall-clock (``timestamp_ntz``) value, read as UTC,
+    independent of the session time zone."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
 
 
 def landing_batch(ts: F.Column, cuts: Sequence[str]) -> F.Column:
@@ -71,7 +73,7 @@ def raw_movies(spark: SparkSession, sf_dir: str, cuts: Sequence[str] = ()) -> Da
         "type": F.col("line.l_linestatus"),
         "seeds": F.col("line.l_linenumber"),
         "date_uploaded": F.date_format("line.l_shipdate", TS_TEXT),
-        "date_uploaded_unix": F.unix_seconds(F.col("line.l_shipdate").cast("timestamp")),
+        "date_uploaded_unix": _unix("line.l_shipdate"),
     }
     torrent = F.struct(*[torrent_values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
                          for f in TORRENT.fields])

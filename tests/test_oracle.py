@@ -30,3 +30,14 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() >= 0 and df.columns
+
+
+@pytest.mark.parametrize("name", ["q_coalesce_nested", "q_dim_date_day", "q_fact"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, SF_SMALL, name, QUERIES[name], SQL[name], con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r
