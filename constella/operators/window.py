@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 Bound = Column | str | _dt.datetime | _dt.date | None
 
 
-def _bound(df: DataFrame, ts: str, value: Bound) -> Column | None:
+def as_bound(df: DataFrame, ts: str, value: Bound) -> Column | None:
+    """A bound value as a column of ``ts``'s type (datetimes travel as wall-clock text)."""
     if value is None or isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):
@@ -41,9 +42,9 @@ def incremental_window(df: DataFrame, ts: str, last: Bound = None,
     pushed filters.
     """
     c = F.col(ts)
-    up = _bound(df, ts, upper)
+    up = as_bound(df, ts, upper)
     cond = c <= (max_of(df, ts) if up is None else up)
-    lo = _bound(df, ts, last)
+    lo = as_bound(df, ts, last)
     if lo is not None:
         if lookback:
             lo = lo - F.expr(f"INTERVAL {lookback}")
@@ -58,7 +59,7 @@ def incremental_window(df: DataFrame, ts: str, last: Bound = None,
 def advance_mark(window: DataFrame, ts: str, last: Bound) -> Column:
     """New high-water mark: max of the window, or the old mark when the window
     is empty (an empty window must never reset the mark)."""
-    lo = _bound(window, ts, last)
+    lo = as_bound(window, ts, last)
     mx = max_of(window, ts)
     return mx if lo is None else F.coalesce(mx, lo)
 

@@ -16,13 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from constella.functions.dates import date_grain
-from constella.operators import clean, incremental_window
+from constella.operators import clean, fact_rows, incremental_window, new_fact_rows, one_row_per_id
+from constella.operators.window import as_bound
 from constella.plans.batches import (
     DIM_STEPS,
+    FACT_COLUMNS,
     FACT_DIMS,
+    FACT_SOURCE,
+    SENTINEL_YEARS,
     TS,
     bridge_step,
     date_step,
+    fact_lookups,
     fact_step,
     year_step,
 )
@@ -40,7 +45,7 @@ DIM_ORDER = ["dim_genre", "dim_movie", "dim_date", "dim_language", "dim_runtime"
 class RunOptions:
     lookback: str | None = None          # re-admit rows up to this interval before the mark
     date_grain: str = "timestamp"        # or "day": one dim_date row per day
-    sentinel_years: tuple = (4000,)
+    sentinel_years: tuple = SENTINEL_YEARS
     empty_genres_as_default: bool = False
     parallelism: int = 8                 # concurrent dimension steps (1 = sequential)
 
@@ -122,8 +127,7 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
 
 
 def _literal(df: DataFrame, last, lookback: str | None):
-    from constella.operators.window import _bound
-    lo = _bound(df, TS, last)
+    lo = as_bound(df, TS, last)
     return lo - F.expr(f"INTERVAL {lookback}") if lookback else lo
 
 
@@ -134,8 +138,6 @@ def _batch(wh: Warehouse, name: str, n: int) -> DataFrame:
 
 def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions,
           rows: int | None = None) -> DataFrame:
-    from constella.plans.batches import FACT_COLUMNS, FACT_SOURCE, fact_lookups
-    from constella.operators import fact_rows, new_fact_rows, one_row_per_id
     if options.date_grain != "day":
         return fact_step(window, dims, existing, order_first=(BATCH,), rows=rows)
     src = one_row_per_id(window, "movie_id", [BATCH, *FACT_SOURCE, "_day"])

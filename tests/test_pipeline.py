@@ -222,3 +222,27 @@ def test_lookback_readmits_late_rows_once(spark, scratch):
     assert sorted(r.movie_id for r in committed(wh, "fact_movies").collect()) == [1, 2, 3]
     langs = sorted(x.language for x in committed(wh, "dim_language").collect())
     assert langs == ["en", "fr"]
+
+
+def test_star_invariants_after_three_batches(spark, scratch):
+    raw = raw_movies(spark, SF_SMALL, CUTS_3)
+    wh = new_wh(spark, scratch)
+    for k in (1, 2, 3):
+        run_batch(wh, raw.filter(F.col("landing") == k).drop("landing"))
+    for name, nk, key in [("dim_movie", "slug", "movie_key"), ("dim_language", "language", "language_key"),
+                          ("dim_runtime", "runtime", "runtime_key"), ("dim_rating", "rating", "rating_key"),
+                          ("dim_released_year", "year", "year_key"), ("dim_genre", "genre_name", "genre_id")]:
+        rows = committed(wh, name).select(nk, key).collect()
+        naturals = [r[0] for r in rows]
+        assert len(naturals) == len(set(naturals)), name            # NULL counted once, too
+        assert sorted(r[1] for r in rows) == list(range(1, len(rows) + 1)), name
+    dates = [r.date for r in committed(wh, "dim_date").collect()]
+    assert len(dates) == len(set(dates))
+    ids = [r.movie_id for r in committed(wh, "fact_movies").collect()]
+    assert len(ids) == len(set(ids))
+    pairs = [tuple(r) for r in committed(wh, "genre_junction").collect()]
+    assert len(pairs) == len(set(pairs))
+    # every non-NULL attribute resolves to a key
+    fact = committed(wh, "fact_movies")
+    assert fact.filter(F.col("movie_key").isNull() | F.col("year_key").isNull()).count() == \
+        raw.filter(F.col("slug").isNull()).join(fact.select(F.col("movie_id").alias("id")), "id").count()
