@@ -12,10 +12,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
 from constella import schemas as S
-from constella.functions import default_array, parse_timestamp
+from constella.functions import date_grain, default_array, parse_timestamp
 from constella.operators import (
     absent_from,
     advance_mark,
@@ -29,13 +29,12 @@ from constella.operators import (
     new_date_members,
     new_members,
     rows_missing_date,
-    with_sentinels,
 )
 from constella.plans.batches import TS, batch_windows, empty, grow, star_states
 from constella.plans.sqlgen import (
     genre_ctes,
+    grow_dim_ctes,
     grow_date_ctes,
-    simple_dims_ctes,
     star_ctes,
     windows_ctes,
     with_,
@@ -187,16 +186,17 @@ def q_inner_join(spark, sf_dir):
     return pairs.join(d1, on=pairs["genre_name"] == d1["genre_name"], how="inner").select("movie_id", "genre_id")
 
 
-@query("q_anti_expr", G1 + """
-SELECT DISTINCT s.genre_name FROM (SELECT unnest(genres) AS genre_name FROM w2) s
-WHERE NOT EXISTS (SELECT 1 FROM dg_1 e WHERE e.genre_name = s.genre_name)""")
+@query("q_anti_expr", W2 + """
+SELECT DISTINCT CAST(CAST(s.date_uploaded AS DATE) AS TIMESTAMP) AS day FROM w2 s
+WHERE NOT EXISTS (SELECT 1 FROM w1 e WHERE CAST(e.date_uploaded AS DATE) = CAST(s.date_uploaded AS DATE))""")
 def q_anti_expr(spark, sf_dir):
-    ws, d1 = _genre_dim_1(spark, sf_dir)
-    new = exploded_values(ws[1], "genres", "genre_name")
-    return (new.alias("new").join(d1.alias("existing"),
-                                  on=F.col("new.genre_name") == F.col("existing.genre_name"),
-                                  how="leftanti")
-               .select(F.col("new.genre_name")))
+    """Left anti join on an expression condition: upload days of batch 2 that
+    batch 1 does not have."""
+    w1, w2 = _windows(spark, sf_dir)
+    days = lambda w: w.select(date_grain(TS, "day").alias("day")).distinct()
+    new, existing = days(w2).alias("new"), days(w1).alias("existing")
+    return (new.join(existing, on=F.col("new.day") == F.col("existing.day"), how="leftanti")
+               .select(F.col("new.day")))
 
 
 @query("q_anti_using", W2 + """
@@ -235,14 +235,18 @@ def q_double_join(spark, sf_dir):
 
 
 # --- W1 C3: keys --------------------------------------------------------------------
-@query("q_rownum_key", with_(sql_silver_ctes(CUTS_2), windows_ctes(2), simple_dims_ctes(2)) + """
-SELECT * FROM dy_2 WHERE year_key > (SELECT coalesce(max(year_key), 0) FROM dy_1)""")
+@query("q_rownum_key", with_(sql_silver_ctes(CUTS_2), windows_ctes(2),
+                             grow_dim_ctes("du", "upload_key", "date_uploaded", "BIGINT", "TIMESTAMP",
+                                           [f"SELECT DISTINCT date_uploaded FROM w{k}" for k in (1, 2)])) + """
+SELECT * FROM du_2 WHERE upload_key > (SELECT coalesce(max(upload_key), 0) FROM du_1)""")
 def q_rownum_key(spark, sf_dir):
+    """Batch 2's new members of a dimension over the upload timestamps
+    (a natural key that grows), keyed after batch 1's max key."""
     w1, w2 = _windows(spark, sf_dir)
-    d1 = grow([w1], empty(spark, S.DIM_RELEASED_YEAR),
-              lambda w, d: new_members(with_sentinels(distinct_values(w, "year"), "year", [4000]), d,
-                                       "year", "year_key"))
-    return new_members(with_sentinels(distinct_values(w2, "year"), "year", [4000]), d1, "year", "year_key")
+    schema = StructType([StructField("upload_key", LongType()), StructField("date_uploaded", TimestampNTZType())])
+    step = lambda w, d: new_members(distinct_values(w, "date_uploaded"), d, "date_uploaded", "upload_key")
+    d1 = grow([w1], empty(spark, schema), step)
+    return step(w2, d1)
 
 
 @query("q_dense_key", """
