@@ -68,7 +68,7 @@ def q_batch_end_to_end(spark, sf_dir):
     return _resolved_committed(wh)
 
 
-def land_standin(spark, sf_dir: str, limit: int = API_PAGE_SIZE) -> str:
+def land_standin(spark, sf_dir: str, limit: int = API_PAGE_SIZE, one_dir_per_page: bool = False) -> str:
     """Write the stand-in movie rows as page envelopes (pages of ``limit`` rows
     in id order) into a fresh shared folder; returns the folder."""
     landing = shared_dir(spark, "landing")
@@ -76,7 +76,7 @@ def land_standin(spark, sf_dir: str, limit: int = API_PAGE_SIZE) -> str:
     ranked = dense_keys(raw, ["id"], "_rank")
     rows = ranked.withColumn("page", page_numbers(ranked, "_rank", limit)).drop("_rank")
     count = table(spark, sf_dir, "orders").select(F.count(F.lit(1))).scalar()
-    write_pages(rows, landing, "page", count, limit)
+    write_pages(rows, landing, "page", count, limit, one_dir_per_page)
     return landing
 
 

@@ -246,3 +246,19 @@ def test_star_invariants_after_three_batches(spark, scratch):
     fact = committed(wh, "fact_movies")
     assert fact.filter(F.col("movie_key").isNull() | F.col("year_key").isNull()).count() == \
         raw.filter(F.col("slug").isNull()).join(fact.select(F.col("movie_id").alias("id")), "id").count()
+
+
+def test_stream_several_micro_batches(spark, scratch):
+    landing = land_standin(spark, SF_SMALL, one_dir_per_page=True)     # 30 page files
+    wh = new_wh(spark, scratch)
+    run_stream(wh, landing, max_files_per_trigger=10)
+    st = read_state(wh)
+    assert st["batch_id"] == 3                                          # one warehouse batch per micro-batch
+    run_stream(wh, landing, max_files_per_trigger=10)
+    assert read_state(wh)["batch_id"] == 3                              # restart: nothing new
+    for name, key in [("dim_movie", "movie_key"), ("dim_language", "language_key"), ("dim_genre", "genre_id")]:
+        keys = [r[key] for r in committed(wh, name).collect()]
+        assert sorted(keys) == list(range(1, len(keys) + 1)), name
+    ids = [r.movie_id for r in committed(wh, "fact_movies").collect()]
+    assert len(ids) == len(set(ids)) and 0 < len(ids) <= 1500
+    assert committed(wh, "raw_data").count() == 1500                    # every landed row kept in bronze
