@@ -14,11 +14,14 @@ from constella.operators.merge import absent_from, reduce_to_probe
 @dataclass(frozen=True)
 class Lookup:
     """Resolve ``source`` (a column or expression of the fact source) through
-    ``dim`` (unique on ``natural_key``) to ``key``."""
+    ``dim`` (unique on ``natural_key``) to ``key``.  ``reduce`` marks a
+    dimension that grows with history (one member per movie or per upload
+    time): it is first cut down to the probe's keys, see ``lookup_keys``."""
     dim: DataFrame
     source: str | Column
     natural_key: str
     key: str
+    reduce: bool = False
 
 
 def one_row_per_id(src: DataFrame, id_col: str, columns: Sequence[str]) -> DataFrame:
@@ -31,28 +34,36 @@ def one_row_per_id(src: DataFrame, id_col: str, columns: Sequence[str]) -> DataF
                .select(id_col, *[F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
-def lookup_keys(src: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | None = None,
+                probe_rows: int | None = None) -> DataFrame:
     """Chained left joins that add each lookup's surrogate key.  Only
     ``(natural_key, key)`` of each dimension is read; plain equality, so a NULL
     attribute gets a NULL key.  Join strategy is Spark's: small dimensions are
     broadcast when their (estimated or, under AQE, measured) size is below
     the broadcast threshold, large ones sort-merge, with AQE splitting skewed
-    partitions."""
+    partitions.  A ``reduce`` lookup with a ``probe`` (a cheap superset of the
+    source rows, e.g. the window) and a proven bound ``probe_rows`` first
+    keeps only dimension members whose key the probe holds (broadcast
+    semi-join), so a history-sized dimension is scanned, never shuffled."""
     out = src
     for i, lk in enumerate(lookups):
-        nk = f"_nk{i}"
-        d = lk.dim.select(F.col(lk.natural_key).alias(nk), F.col(lk.key))
+        nk, value = f"_nk{i}", f"_value{i}"
         left = F.col(lk.source) if isinstance(lk.source, str) else lk.source
-        probe = f"_probe{i}"
-        out = (out.withColumn(probe, left)
-                  .join(d, F.col(probe) == F.col(nk), "left")
-                  .drop(probe, nk))
+        dim = lk.dim
+        if lk.reduce and probe is not None:
+            dim = reduce_to_probe(dim, probe.select(left.alias(lk.natural_key)), [lk.natural_key],
+                                  probe_rows, null_safe=False)
+        d = dim.select(F.col(lk.natural_key).alias(nk), F.col(lk.key))
+        out = (out.withColumn(value, left)
+                  .join(d, F.col(value) == F.col(nk), "left")
+                  .drop(value, nk))
     return out
 
 
-def fact_rows(src: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str]) -> DataFrame:
+def fact_rows(src: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str],
+              probe: DataFrame | None = None, probe_rows: int | None = None) -> DataFrame:
     """Fact rows: source joined to every dimension, projected to ``columns``."""
-    return lookup_keys(src, lookups).select(*columns)
+    return lookup_keys(src, lookups, probe, probe_rows).select(*columns)
 
 
 def new_fact_rows(rows: DataFrame, fact: DataFrame, id_col: str = "movie_id",

@@ -148,8 +148,8 @@ def bridge_step(w, dim_genre, existing, rows=None):
 
 def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) -> list[Lookup]:
     return [
-        Lookup(dims["dim_movie"], "slug", "slug", "movie_key"),
-        Lookup(dims["dim_date"], date_source, "date", "date_key"),
+        Lookup(dims["dim_movie"], "slug", "slug", "movie_key", reduce=True),
+        Lookup(dims["dim_date"], date_source, "date", "date_key", reduce=True),
         Lookup(dims["dim_language"], "language", "language", "language_key"),
         Lookup(dims["dim_runtime"], "runtime", "runtime", "runtime_key"),
         Lookup(dims["dim_rating"], "rating", "rating", "rating_key"),
@@ -159,8 +159,8 @@ def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) ->
 
 def fact_step(w, dims, existing, order_first=("landing",), rows=None):
     src = one_row_per_id(w, "movie_id", [*order_first, *FACT_SOURCE])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS), existing,
-                         probe=w, probe_rows=rows)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS, probe=w, probe_rows=rows),
+                         existing, probe=w, probe_rows=rows)
 
 
 DIM_STEPS = {

@@ -141,8 +141,8 @@ def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions,
     if options.date_grain != "day":
         return fact_step(window, dims, existing, order_first=(BATCH,), rows=rows)
     src = one_row_per_id(window, "movie_id", [BATCH, *FACT_SOURCE, "_day"])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS), existing,
-                         probe=window, probe_rows=rows)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS, probe=window, probe_rows=rows),
+                         existing, probe=window, probe_rows=rows)
 
 
 def committed(wh: Warehouse, name: str) -> DataFrame:
