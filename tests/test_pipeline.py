@@ -72,7 +72,7 @@ def test_two_batches_semantics(spark, scratch):
     assert len(pairs) == len(set(pairs))
     genre = {r.genre_id: r.genre_name for r in committed(wh, "dim_genre").collect()}
     # movie 1 comes back in batch 2 without genres: its fact row stays, but the
-    # bridge (append of new pairs, as the reference does) gains 'other'
+    # bridge (new pairs of every window are appended, SURVEY C8) gains 'other'
     assert sorted(genre[g] for m, g in pairs if m == 1) == ["comedy", "drama", "other"]
     assert sorted(genre[g] for m, g in pairs if m == 3) == ["other"]
     assert not [p for p in pairs if p[0] == 2]             # empty genres: no pair (H13)
