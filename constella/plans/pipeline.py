@@ -178,11 +178,17 @@ def run_landed(wh: Warehouse, landing: str, limit: int = 50, options: RunOptions
         read_pages,
         total_pages,
     )
+    from pyspark.errors import AnalysisException
     spark = wh.spark
     prev = read_state(wh)
     last_page = prev["last_page"] if prev else 0
-    pages = read_pages(spark, landing, multiline)
-    max_page = pages.select(total_pages(pages, limit)).first()[0] or 0
+    try:
+        pages = read_pages(spark, landing, multiline)
+        max_page = pages.select(total_pages(pages, limit)).first()[0] or 0
+    except AnalysisException as e:            # nothing has landed yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise
     if last_page >= max_page:
         return None
     status = page_status(page_plan(spark, last_page, max_page), pages, limit)

@@ -206,6 +206,7 @@ def test_run_landed_page_mark(spark, scratch):
     assert read_state(wh)["last_page"] == 5
     assert sorted(x.movie_id for x in committed(wh, "fact_movies").collect()) == list(range(1, 16))
     assert run_landed(wh, landing, limit=3) is None         # nothing new (F7)
+    assert run_landed(wh, f"{scratch}/never-landed", limit=3) is None
 
 
 def test_lookback_readmits_late_rows_once(spark, scratch):
