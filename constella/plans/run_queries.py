@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from constella.operators import dense_keys
 from constella.operators.clean import clean
-from constella.plans.pipeline import committed, committed_sql, run_batch
+from constella.plans.pipeline import committed, committed_sql, run_batch, run_landed
 from constella.plans.queries import SILVER_OUT, query
 from constella.plans.sqlgen import star_ctes, windows_ctes, with_
 from constella.plans.standins import CUTS_3, raw_movies, sql_silver_ctes, table
@@ -98,6 +98,15 @@ def q_stream(spark, sf_dir):
     return _resolved_committed(wh)
 
 
+# --- S2-S4 + C10: the daily run over landed pages (page plan, load, page mark) ----
+@query("q_run_landed", with_(sql_silver_ctes(()), windows_ctes(1), *star_ctes(1)) + RESOLVED.format(n=1))
+def q_run_landed(spark, sf_dir):
+    landing = land_standin(spark, sf_dir)
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    run_landed(wh, landing, limit=API_PAGE_SIZE)
+    return _resolved_committed(wh)
+
+
 # --- S2 S3 S4 H10 H11: page plan, missing pages, page mark ----------------------
 def _standin_pages(spark, sf_dir, limit=PLAN_PAGE_SIZE):
     """Pages over orders in key order; a page whose first order is urgent did
