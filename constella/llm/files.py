@@ -27,13 +27,14 @@ class Draft:
         self.name, self.temp = name, f"_tmp/{name}.{uuid.uuid4().hex}"
         fs, base = resolve(root)
         fs.create_dir(f"{base}/_tmp", recursive=True)
-        self.out = fs.open_output_stream(f"{base}/{self.temp}")
+        self.out, self.size = fs.open_output_stream(f"{base}/{self.temp}", compression=None), 0
 
     def write(self, data: bytes) -> None:
         self.out.write(data)
+        self.size += len(data)
 
     def tell(self) -> int:
-        return self.out.tell()
+        return self.size
 
     def close(self) -> None:
         self.out.close()

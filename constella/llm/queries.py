@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.llm.common import shared_dir, table
+from constella.llm.common import id_crc, shared_dir, table
 
 
 def vocabulary(name: str) -> str:
@@ -14,6 +14,29 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record and read back."""
+    from constella.llm.warc import read_warc, write_warc
+
+    manifest = write_warc(table(spark, sf_dir, "pages"), shared_dir(spark, "warc"), min_revisit_bytes=0)
+    return read_warc(manifest).select(F.col("key").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                                      "refers_to")
+
+
+OP1_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS x FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY x) AS top FROM d)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (((('0x' || substr(x, ((i // 4) * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)
+           for i in range(0, 32)], '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM m
+"""
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids written as Arrow files and read back: place, length and checksum."""
     from constella.llm.token_files import read_documents, write_token_files
@@ -23,6 +46,23 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(manifest).withColumnRenamed("key", "doc_id")
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that aren't held out."""
+    from constella.llm.langid import fit, predict
+
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", id_crc("doc_id") % 4 == 2)
+    profiles = fit(docs.filter(~F.col("held_out")))
+    return predict(docs.select("doc_id", "held_out", "text"), profiles).drop("text")
+
+
+def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector with its links of cosine 0.9 and more and its component."""
+    from constella.llm.ego_join import near_vectors
+
+    found = near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest id within reach by links of two bits or fewer."""
     from constella.llm.simhash import near_duplicates
@@ -47,9 +87,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_token_files": op2_token_files,
+    "op3_language": op3_language,
+    "op4_vectors": op4_vectors,
     "op6_simhash": op6_simhash,
     "op10_bpe": op10_bpe,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_warc": OP1_SQL}
