@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.llm.common import id_crc, shared_dir, table
+from constella.llm.common import cut, id_crc, shared_dir, table
+
+
+SEQUENCE_LENGTHS = (512, 1024, 2048, 4096, 8192)
+
+
+#: Stands for a secret that a deployment passes in; the same key gives the same surrogates.
+SURROGATE_KEY = "constella"
 
 
 def vocabulary(name: str) -> str:
@@ -71,6 +78,25 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data and secrets replaced."""
+    from constella.llm.surrogates import replace
+
+    return replace(table(spark, sf_dir, "documents"), key=SURROGATE_KEY)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens packed into sequences of four permitted lengths."""
+    return packed(table(spark, sf_dir, "documents"))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    from constella.llm.packing import pack, token_lengths
+
+    lengths = cut(token_lengths(docs, vocabulary("byte_bpe_50k.json")), name="token-lengths")
+    return pack(lengths, SEQUENCE_LENGTHS)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded: token count and digests of ids and bytes."""
     from public_tokenizers import PATTERN
@@ -92,6 +118,8 @@ QUERIES = {
     "op3_language": op3_language,
     "op4_vectors": op4_vectors,
     "op6_simhash": op6_simhash,
+    "op8_surrogates": op8_surrogates,
+    "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
 
