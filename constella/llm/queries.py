@@ -70,6 +70,13 @@ def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, that of its edited text, and their likeness."""
+    from constella.llm.fingerprint import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest id within reach by links of two bits or fewer."""
     from constella.llm.simhash import near_duplicates
@@ -117,6 +124,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_language": op3_language,
     "op4_vectors": op4_vectors,
+    "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
     "op8_surrogates": op8_surrogates,
     "op9_packing": op9_packing,
