@@ -85,6 +85,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model learned from those that aren't held out."""
+    from constella.llm.kneser_ney import score, train
+
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", (id_crc("doc_id") % 7 == 2).alias("held_out"), "text")
+    model = train(docs.filter(~F.col("held_out")), shared_dir(spark, "kneser-ney"))
+    return score(docs, model).drop("text")
+
+
 def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data and secrets replaced."""
     from constella.llm.surrogates import replace
@@ -126,6 +136,7 @@ QUERIES = {
     "op4_vectors": op4_vectors,
     "op5_fingerprints": op5_fingerprints,
     "op6_simhash": op6_simhash,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_surrogates": op8_surrogates,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,

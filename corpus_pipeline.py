@@ -1,12 +1,66 @@
-"""Corpus pipeline over ``documents`` (stages are added with their operators)."""
+"""Corpus pipeline over ``documents``: language ID, SimHash near-duplicates, surrogates, packing.
+
+A stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.  All but the last return the
+columns of ``documents``; the last returns the packing of what is left.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from constella.llm.common import cut, importable
+from constella.llm.langid import UNKNOWN, fit, predict
+from constella.llm.queries import SURROGATE_KEY, packed
+from constella.llm.simhash import near_duplicates
+from constella.llm.surrogates import replace
+
+#: Least likeness (1 - out-of-place distance) to the nearest profile; short clean texts stay well above it.
+MIN_LANGUAGE_SCORE = 0.25
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents in one of the languages that ``lang`` names; reject null texts, texts without letters, and texts
+    that are near no profile.  Profiles are learned from all documents with a lang."""
+    importable(spark)
+    found = predict(docs, fit(docs))
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep, of each group of documents linked by fingerprints two bits apart or fewer, the one with the smallest id.
+
+    Rows without an id can't be named as copies and stay; of rows with the same id and text one stays."""
+    importable(spark)
+    found = near_duplicates(docs.filter("doc_id is not null"), shingle=3, radius=2, seed=42)
+    keep = cut(found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), name="keep")
+    # by rank and not by dropDuplicates, so that the row that stays is the same in every run
+    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), F.xxhash64(*docs.columns))
+    named = docs.join(keep, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(order))
+    return named.filter("_nth = 1").select(*docs.columns).union(docs.filter("doc_id is null"))
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data and secrets; every document stays.  ``n_chars`` follows the text."""
+    found = replace(docs, key=SURROGATE_KEY)
+    return found.withColumn("n_chars", F.when(F.col("n_entities") > 0, F.length("text").cast("bigint")).otherwise(
+        F.col("n_chars"))).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every document in their bins."""
+    importable(spark)
+    return packed(docs)
+
+
+STAGES = [("language", language), ("near_copies", near_copies), ("surrogates", surrogates), ("packing", packing)]
 
-STAGES: list = []
+#: None: SQL has neither rank-order profiles, XXH64 nor best-fit packing; tests compare with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name=name)
+    return STAGES[-1][1](spark, docs, sf_dir)
