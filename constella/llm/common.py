@@ -15,6 +15,7 @@ __all__ = ["cut", "shared_dir", "table", "importable", "id_crc", "ordered_shards
 
 #: A histogram of keys never has more rows than this, whatever the input (a proven broadcast bound).
 MAX_BLOCKS = 65_536
+GROUP = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,9 +54,14 @@ def ordered_shards(df: DataFrame, key: str, weight: Column, target: int) -> Data
     block = F.coalesce(F.floor(wide / F.lit(width)).cast("bigint"), F.lit(-1).cast("bigint"))
     df = df.withColumn("_block", block)
     hist = df.groupBy("_block").agg(F.sum(weight).cast("bigint").alias("_w"))
-    before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.select("_block", F.floor(F.coalesce(F.sum("_w").over(before), F.lit(0)) / F.lit(target))
-                       .cast("bigint").alias("_shard"))
+    hist = hist.withColumn("_group", F.floor(F.col("_block") / GROUP))
+    # running sums within groups of blocks, and over the few groups
+    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = hist.groupBy("_group").agg(F.sum("_w").alias("_w")).select(
+        "_group", F.coalesce(F.sum("_w").over(before), F.lit(0)).alias("_base"))
+    before = Window.partitionBy("_group").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("_w", F.coalesce(F.sum("_w").over(before), F.lit(0))).join(F.broadcast(groups), "_group")
+    hist = hist.select("_block", F.floor((F.col("_base") + F.col("_w")) / F.lit(target)).cast("bigint").alias("_shard"))
     return df.join(F.broadcast(hist), "_block").drop("_block")
 
 
