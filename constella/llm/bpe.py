@@ -17,7 +17,6 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -39,9 +38,16 @@ class PerfectHash:
         self.shift = [0] * self.buckets
         self.slots = [-1] * self.n
         # large buckets first, while most slots are free; each tries displacements until its keys fit
-        for b in sorted(range(self.buckets), key=lambda b: -len(groups[b])):
+        order = sorted(range(self.buckets), key=lambda b: -len(groups[b]))
+        free = None
+        for b in order:
             if not groups[b]:
                 break
+            if len(groups[b]) == 1:    # a lone key takes any slot that is left; its place is kept as -1 - slot
+                free = free or [s for s in range(self.n) if self.slots[s] < 0]
+                self.shift[b] = -1 - (s := free.pop())
+                self.slots[s] = groups[b][0]
+                continue
             d = 0
             while True:
                 at = [self._slot(hashes[i], d) for i in groups[b]]
@@ -54,6 +60,8 @@ class PerfectHash:
         self.keys = [keys[i] for i in self.slots]
 
     def _slot(self, h: int, d: int) -> int:
+        if d < 0:
+            return -1 - d
         return ((h >> 20) * 0x9E3779B97F4A7C15 + d * ((h >> 44) | 1)) % self.n if d < 64 else (
             ((h ^ (d * 0xD6E8FEB86659FD93)) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 11) % self.n
 
@@ -70,57 +78,49 @@ class Codec:
         self.ids = [i for i, _ in pairs]
         self.pieces = [p for _, p in pairs]
         self.table = dict(pairs)
-        self.words = PerfectHash(self.pieces)
-        self.pattern = regex.compile(pattern)
-        self.cache = ChunkCache(self._many)
+        self.ranks = {p: i for i, p in pairs}    # of the pairs that merging meets
+        self._words = None
+        self.cache = ChunkCache(self._many, pattern)
 
-    def rank(self, piece: bytes) -> int:
-        i = self.words.find(piece)
-        return self.ids[i] if i >= 0 else -1
+    @property
+    def words(self) -> PerfectHash:
+        """Built when something is encoded; decoding has no use for it."""
+        if self._words is None:
+            self._words = PerfectHash(self.pieces)
+        return self._words
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that isn't in the vocabulary."""
-        n, rank = len(word), self.rank
-        after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        alive, version = [True] * n, [0] * n
-
-        def pair(i: int) -> None:
-            j = after[i]
-            if j < n and (r := rank(word[i:end[j]])) >= 0:
-                heapq.heappush(heap, (r, i, version[i], version[j]))
-
-        heap: list[tuple] = []
-        for i in range(n - 1):
-            pair(i)
+        n, rank, push, pop = len(word), self.ranks.get, heapq.heappush, heapq.heappop
+        # end[i]: where the part that begins at byte i ends, 0 once it is merged into the one before
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(word[i:i + 2])) is not None]
+        heapq.heapify(heap)
         while heap:
-            _, i, vi, vj = heapq.heappop(heap)
-            if not alive[i] or version[i] != vi or (j := after[i]) >= n or version[j] != vj:
-                continue
-            end[i], after[i], alive[j] = end[j], after[j], False
-            version[i] += 1
-            if after[j] < n:
-                before[after[j]] = i
-            pair(i)
-            if before[i] >= 0:
-                pair(before[i])
+            _, i, stop = pop(heap)
+            middle = end[i]
+            if not middle or middle >= n or end[middle] != stop or stop <= middle:
+                continue    # one of the two has changed since
+            end[i], end[middle] = stop, 0
+            if stop < n:
+                before[stop] = i
+                if (r := rank(word[i:end[stop]])) is not None:
+                    push(heap, (r, i, end[stop]))
+            if (j := before[i]) >= 0 and (r := rank(word[j:stop])) is not None:
+                push(heap, (r, j, stop))
         out, i = [], 0
         while i < n:
-            out.append(rank(word[i:end[i]]))
-            i = after[i]
+            out.append(self.ranks[word[i:end[i]]])
+            i = end[i]
         return out
 
-    def encode_chunk(self, text: str) -> list[int]:
-        out = []
-        for word in self.pattern.findall(text):
-            raw = word.encode()
-            if (r := self.rank(raw)) >= 0:
-                out.append(r)
-            else:
-                out += self.merge(raw)
-        return out
+    def encode_word(self, word: str) -> list[int]:
+        raw = word.encode()
+        i = self.words.find(raw)
+        return [self.ids[i]] if i >= 0 else self.merge(raw)
 
-    def _many(self, texts: list[str]) -> list[bytes]:
-        return [np.array(self.encode_chunk(t), dtype="<i4").tobytes() for t in texts]
+    def _many(self, words: list[str]) -> list[bytes]:
+        return [np.array(self.encode_word(w), dtype="<i4").tobytes() for w in words]
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian 32-bit integers."""
@@ -159,8 +159,10 @@ def bpe_decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: st
     def decode(batches):
         enc = codec(path, pattern)
         for batch in batches:
-            found = [enc.decode(x or []) for x in batch.column(ids).to_pylist()]
-            yield _replaced(batch, out, pa.array(found, pa.binary()))
+            for at in range(0, batch.num_rows, 500):    # a document's ids at a time, few documents a batch
+                part = batch.slice(at, 500)
+                found = [enc.decode(x.values.to_pylist() if x.is_valid else []) for x in part.column(ids)]
+                yield _replaced(part, out, pa.array(found, pa.binary()))
 
     df = df.drop(out)
     return df.mapInArrow(decode, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))

@@ -2,7 +2,7 @@
 
 The vocabulary's pattern never lets a pre-token run from a character that isn't white space into a following space,
 and looks no further back; so a text may be cut before every single space between two other characters.  Chunks
-repeat (they are words with punctuation), so each worker keeps the encodings of recent chunks.
+repeat (they are words with punctuation), and so do their pre-tokens; each worker keeps the encodings of recent ones.
 """
 
 from __future__ import annotations
@@ -10,6 +10,10 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import regex
+
+# Fixed value: the pattern of the byte-level vocabularies
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Python's \s holds every character that the vocabulary's pattern takes for white space, and a few more: no wrong cut
 _UNCLEAR = re.compile(r" \s|\s ")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -20,35 +24,61 @@ def cut_text(text: str) -> list[str]:
     return _CUT.split(text) if _UNCLEAR.search(text) else text.split(" ")
 
 
+class Recent(dict):
+    """A dict that keeps what was used lately: when it has ``room`` entries it becomes the old generation."""
+
+    def __init__(self, room: int):
+        super().__init__()
+        self.room, self.old = room, {}
+
+    def find(self, x: str) -> bytes | None:
+        if (known := self.get(x)) is None and (known := self.old.get(x)) is not None:
+            self[x] = known
+        return known
+
+    def turn(self) -> None:
+        if len(self) > self.room:
+            self.old = dict(self)
+            self.clear()
+
+
 class ChunkCache:
-    """Encodings (bytes) of chunks in two generations: when the young one is full, it replaces the old one.
+    """Encodings (bytes) of recent chunks and, below them, of recent pre-tokens.
 
-    ``encode_many`` turns a list of chunks into a list of bytes.  Chunks over ``longest`` characters are encoded
-    without being kept, so memory is bounded by ``room`` entries of bounded size for each generation.
+    ``encode_many`` turns a list of pre-tokens into a list of bytes.  A chunk that isn't known is split by the
+    vocabulary's ``pattern``; a chunk or pre-token over ``longest`` characters isn't kept, so memory is bounded.
     """
 
-    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], room: int = 300_000, longest: int = 64):
-        self.encode_many, self.room, self.longest = encode_many, room, longest
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+    def __init__(self, encode_many: Callable[[list[str]], list[bytes]], pattern: str, chunks: int = 120_000,
+                 words: int = 350_000, longest: int = 64):
+        self.encode_many, self.split, self.longest = encode_many, regex.compile(pattern).findall, longest
+        self.chunks, self.words = Recent(chunks), Recent(words)
+
+    def _split_all(self, chunks: list[str]) -> list[bytes]:
+        pieces = [self.split(c) for c in chunks]
+        find, found, missing = self.words.find, {}, []
+        for words in pieces:
+            for w in words:
+                if w not in found:
+                    if (known := find(w)) is None:
+                        missing.append(w)
+                    found[w] = known
+        if missing:
+            for w, x in zip(missing, self.encode_many(missing)):
+                found[w] = x
+                if len(w) <= self.longest:
+                    self.words[w] = x
+            self.words.turn()
+        return [b"".join([found[w] for w in words]) for words in pieces]
 
     def encode(self, text: str) -> bytes:
         head, *rest = cut_text(text)
-        get, old = self.young.get, self.old
+        get, find = self.chunks.get, self.chunks.find
         out = [get(x) for x in rest]
         if None in out:
-            missing = set()
-            for i, x in enumerate(out):
-                if x is None:
-                    if (known := old.get(rest[i])) is not None:
-                        self.young[rest[i]] = out[i] = known
-                    else:
-                        missing.add(rest[i])
-            if missing:
-                words = list(missing)
-                found = dict(zip(words, self.encode_many([" " + w for w in words])))
-                out = [found[w] if x is None else x for w, x in zip(rest, out)]
-                self.young.update((w, x) for w, x in found.items() if len(w) <= self.longest)
-            if len(self.young) > self.room:
-                self.young, self.old = {}, self.young
-        return b"".join(([self.encode_many([head])[0]] if head else []) + out)
+            missing = list(dict.fromkeys(w for w, x in zip(rest, out) if x is None and find(w) is None))
+            found = dict(zip(missing, self._split_all([" " + w for w in missing])))
+            out = [(found.get(w) or get(w)) if x is None else x for w, x in zip(rest, out)]
+            self.chunks.update((w, x) for w, x in found.items() if len(w) <= self.longest)
+            self.chunks.turn()
+        return b"".join((self._split_all([head]) if head else []) + out)

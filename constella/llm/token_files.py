@@ -14,6 +14,7 @@ equal keys follow in the order of their texts.  An empty table gives no file.  O
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -21,16 +22,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from constella.llm.chunks import ChunkCache
+from constella.llm.chunks import BYTE_LEVEL, ChunkCache
 from constella.llm.common import ordered_shards
 from constella.llm.files import Draft, commit, resolve, spread
 
 BATCH_ROWS = 256
+# The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes follow from 256 on
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_OTHERS = [b for b in range(256) if b not in set(_PLAIN)]
+_BYTE_LETTERS = [chr(b) if b in set(_PLAIN) else chr(256 + _OTHERS.index(b)) for b in range(256)]
 _encoders: dict[str, "TextEncoder"] = {}
 
 
 class TextEncoder:
-    """Whole texts to uint32 ids by the tokenizers library (add_special_tokens=False), chunk by chunk."""
+    """Whole texts to uint32 ids by the tokenizers library (add_special_tokens=False), each pre-token once while it is kept."""
 
     def __init__(self, path: str):
         import os
@@ -40,16 +45,20 @@ class TextEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.cache = ChunkCache(self._many)
+        # pre-tokens of other vocabularies may not stand alone: their texts are encoded whole
+        made = json.loads(self.tok.to_str())
+        self.plain = made["normalizer"] is None and made["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+        self.cache = ChunkCache(self._many, BYTE_LEVEL)
 
-    def _many(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _many(self, words: list[str]) -> list[bytes]:
+        model, letters = self.tok.model.tokenize, _BYTE_LETTERS
+        return [np.array([t.id for t in model("".join([letters[b] for b in w.encode()]))], dtype="<u4").tobytes()
+                for w in words]
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, dtype="<u4")
-        if any(s in text for s in self.special):    # the library looks for them before it splits
+        if not self.plain or any(s in text for s in self.special):    # the library looks for them before it splits
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.frombuffer(self.cache.encode(text), dtype="<u4")
 
