@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--lookback", help="re-admit late rows, e.g. '2 days'")
     ap.add_argument("--date-grain", default="timestamp", choices=["timestamp", "day"])
     ap.add_argument("--catalog-prefix", help="register namespaces/tables in the session catalog")
-    ap.add_argument("--master", default="local[*]")
+    ap.add_argument("--master", help="only where none is submitted")
     a = ap.parse_args(argv)
 
     spark = build_session(master=a.master)

@@ -9,17 +9,15 @@ from constella.operators.merge import absent_from, reduce_to_probe
 
 
 def bridge_rows(window: DataFrame, id_col: str, array_col: str, dim: DataFrame,
-                natural_key: str, key: str, existing: DataFrame | None = None,
-                window_rows: int | None = None) -> DataFrame:
+                natural_key: str, key: str, existing: DataFrame | None = None) -> DataFrame:
     """``(id, key)`` pairs: explode the array, keep distinct pairs (a member
     repeated in one array or a row replayed gives one pair), resolve the member
     to its key by an inner join on the natural key (a NULL member resolves to
-    nothing), and drop pairs ``existing`` already holds.  ``window_rows`` (a
-    proven bound on the window's ids) lets the history of pairs be reduced to
-    the window's ids by a broadcast semi-join before the anti-join."""
+    nothing), and drop pairs ``existing`` already holds; the history
+    of pairs is first reduced to the window's ids by a semi-join."""
     pairs = window.select(F.col(id_col), F.explode(array_col).alias(natural_key)).distinct()
     keyed = pairs.join(dim.select(natural_key, key), on=natural_key, how="inner").select(id_col, key)
     if existing is not None:
-        existing = reduce_to_probe(existing, window, [id_col], window_rows)
+        existing = reduce_to_probe(existing, window, [id_col])
         keyed = absent_from(keyed, existing, [id_col, key], null_safe=True)
     return keyed

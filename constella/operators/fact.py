@@ -34,17 +34,16 @@ def one_row_per_id(src: DataFrame, id_col: str, columns: Sequence[str]) -> DataF
                .select(id_col, *[F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
-def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | None = None,
-                probe_rows: int | None = None) -> DataFrame:
+def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | None = None) -> DataFrame:
     """Chained left joins that add each lookup's surrogate key.  Only
     ``(natural_key, key)`` of each dimension is read; plain equality, so a NULL
     attribute gets a NULL key.  Join strategy is Spark's: small dimensions are
     broadcast when their (estimated or, under AQE, measured) size is below
     the broadcast threshold, large ones sort-merge, with AQE splitting skewed
     partitions.  A ``reduce`` lookup with a ``probe`` (a cheap superset of the
-    source rows, e.g. the window) and a proven bound ``probe_rows`` first
-    keeps only dimension members whose key the probe holds (broadcast
-    semi-join), so a history-sized dimension is scanned, never shuffled."""
+    source rows, e.g. the window) first keeps only dimension members whose
+    key the probe holds (a semi-join that Spark broadcasts if the keys'
+    measured size allows it)."""
     out = src
     for i, lk in enumerate(lookups):
         nk, value = f"_nk{i}", f"_value{i}"
@@ -52,7 +51,7 @@ def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | No
         dim = lk.dim
         if lk.reduce and probe is not None:
             dim = reduce_to_probe(dim, probe.select(left.alias(lk.natural_key)), [lk.natural_key],
-                                  probe_rows, null_safe=False)
+                                  null_safe=False)
         d = dim.select(F.col(lk.natural_key).alias(nk), F.col(lk.key))
         out = (out.withColumn(value, left)
                   .join(d, F.col(value) == F.col(nk), "left")
@@ -61,17 +60,17 @@ def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | No
 
 
 def fact_rows(src: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str],
-              probe: DataFrame | None = None, probe_rows: int | None = None) -> DataFrame:
+              probe: DataFrame | None = None) -> DataFrame:
     """Fact rows: source joined to every dimension, projected to ``columns``."""
-    return lookup_keys(src, lookups, probe, probe_rows).select(*columns)
+    return lookup_keys(src, lookups, probe).select(*columns)
 
 
 def new_fact_rows(rows: DataFrame, fact: DataFrame, id_col: str = "movie_id",
-                  probe: DataFrame | None = None, probe_rows: int | None = None) -> DataFrame:
+                  probe: DataFrame | None = None) -> DataFrame:
     """Insert-only: rows whose id the fact table does not hold yet.  With a
     cheap ``probe`` of the candidate ids (e.g. the window) and a proven bound
     on its rows, the fact history is first reduced to those ids by a
     broadcast semi-join, so it is not shuffled as a whole."""
     if probe is not None:
-        fact = reduce_to_probe(fact, probe, [id_col], probe_rows, null_safe=False)
+        fact = reduce_to_probe(fact, probe, [id_col], null_safe=False)
     return absent_from(rows, fact, [id_col], null_safe=False).select(*fact.columns)

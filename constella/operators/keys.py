@@ -17,11 +17,6 @@ from pyspark.sql import functions as F
 
 from constella.session import materialize
 
-# Inputs of at most this many rows (counted first) are numbered by one
-# row_number() window in a single task -- a checked bound; larger inputs take
-# the distributed path.
-SINGLE_TASK_LIMIT = 1_000_000
-
 # monotonically_increasing_id(): partition index in the upper 31 bits, row
 # position within the partition in the lower 33 bits.
 _POS_BITS = 33
@@ -34,9 +29,7 @@ def _order(c: str | Column) -> Column:
 
 def dense_keys(df: DataFrame, order_by: Sequence[str | Column], key: str,
                offset: int | Column = 0, key_type: str = "bigint",
-               stage_path: str | None = None,
-               single_task_limit: int | None = SINGLE_TASK_LIMIT,
-               max_rows: int | None = None) -> DataFrame:
+               stage_path: str | None = None) -> DataFrame:
     """Add ``key`` = 1-based rank in ``order_by`` order (NULLs first) + ``offset``.
 
     ``order_by`` must be a total order over ``df`` (a unique key) for the
@@ -44,19 +37,9 @@ def dense_keys(df: DataFrame, order_by: Sequence[str | Column], key: str,
     such as ``coalesce(max(key), 0)`` of the existing dimension.
     ``stage_path`` is where the sorted rows are cut (default: a fresh folder
     below the shared checkpoint folder); a retry may overwrite it.
-    ``single_task_limit``: when ``df`` has at most that many rows (one count
-    job), a single ``row_number()`` window numbers them; ``None`` forces the
-    distributed path.  ``max_rows`` is a known upper bound on ``df``'s rows
-    (e.g. the window's row count for distinct values of one column); when it
-    is within the limit the count job is skipped.
     """
     order = [_order(c) for c in order_by]
     off = offset if isinstance(offset, Column) else F.lit(offset)
-    small = single_task_limit is not None and (
-        (max_rows is not None and max_rows <= single_task_limit) or df.count() <= single_task_limit)
-    if small:
-        rank = F.row_number().over(Window.orderBy(*order))
-        return df.withColumn(key, (rank + off).cast(key_type))
     ranked = materialize(df.orderBy(*order)
                            .withColumn("_rid", F.monotonically_increasing_id()),
                          stage_path, "keys")

@@ -9,44 +9,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# A probe side proven (by the caller's count) to hold at most this many key
-# rows is broadcast to reduce a large target before the anti-join.
-BROADCAST_KEYS_LIMIT = 1_000_000
-
-
 def _match(left: str, right: str, keys: Sequence[str], null_safe: bool):
     eq = (lambda a, b: a.eqNullSafe(b)) if null_safe else (lambda a, b: a == b)
     return reduce(lambda a, b: a & b, [eq(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) for k in keys])
 
 
 def reduce_to_probe(target: DataFrame, probe: DataFrame, keys: Sequence[str],
-                    probe_rows: int | None, null_safe: bool = True) -> DataFrame:
+                    null_safe: bool = True) -> DataFrame:
     """``target`` rows whose ``keys`` occur in ``probe`` -- a superset of what
-    any anti-join of the probe's rows against ``target`` can match.  When
-    ``probe_rows`` (a proven bound on ``probe``'s rows) is within
-    ``BROADCAST_KEYS_LIMIT`` the distinct probe keys are broadcast, so the
-    history in ``target`` is filtered map-side instead of shuffled; otherwise
-    ``target`` is returned unchanged (the anti-join then shuffles)."""
+    any anti-join of the probe's rows against ``target`` can match.  A plain
+    semi-join on the anti-join's keys: where the probe's size allows it, Spark
+    broadcasts it and the history is filtered map-side; otherwise both joins
+    share one exchange."""
     keys = list(keys)
-    if probe_rows is None or probe_rows > BROADCAST_KEYS_LIMIT:
-        return target
     t = target.alias("_t")
-    p = F.broadcast(probe.select(*keys).distinct()).alias("_p")
+    p = probe.select(*keys).distinct().alias("_p")
     return t.join(p, on=_match("_t", "_p", keys, null_safe), how="left_semi").select(
         *[F.col(f"_t.{c}") for c in target.columns])
 
 
 def absent_from(src: DataFrame, target: DataFrame, keys: Sequence[str],
-                null_safe: bool = True, src_rows: int | None = None) -> DataFrame:
+                null_safe: bool = True) -> DataFrame:
     """Rows of ``src`` whose ``keys`` do not occur in ``target``.
 
     ``null_safe`` matches NULL with NULL (``<=>``), so a NULL member is inserted
     at most once; Spark still plans ``<=>`` as an equi-join (hash or sort-merge,
     broadcast when the target is small), never as a nested loop.
-    ``src_rows``: a proven bound on ``src``'s rows; see ``reduce_to_probe``.
     """
     keys = list(keys)
-    target = reduce_to_probe(target, src, keys, src_rows, null_safe)
     if not null_safe:
         return src.join(target.select(*keys), on=keys, how="left_anti")
     s = src.alias("_src")

@@ -112,38 +112,35 @@ def grow(windows, start, step) -> DataFrame:
 # cannot outnumber it, so it bounds the members to number.
 
 def language_step(w, d, rows=None):
-    return new_members(distinct_values(w, "language"), d, "language", "language_key", max_rows=rows)
+    return new_members(distinct_values(w, "language"), d, "language", "language_key")
 
 
 def runtime_step(w, d, rows=None):
-    return new_members(distinct_values(w, "runtime"), d, "runtime", "runtime_key", max_rows=rows)
+    return new_members(distinct_values(w, "runtime"), d, "runtime", "runtime_key")
 
 
 def rating_step(w, d, rows=None):
-    return new_members(distinct_values(w, "rating"), d, "rating", "rating_key", max_rows=rows)
+    return new_members(distinct_values(w, "rating"), d, "rating", "rating_key")
 
 
 def year_step(w, d, rows=None, sentinels=SENTINEL_YEARS):
-    bound = None if rows is None else rows + len(sentinels)
-    return new_members(with_sentinels(distinct_values(w, "year"), "year", sentinels), d, "year", "year_key",
-                       max_rows=bound)
+    return new_members(with_sentinels(distinct_values(w, "year"), "year", sentinels), d, "year", "year_key")
 
 
 def date_step(w, d, rows=None, grain="timestamp", ts=TS):
-    return new_date_members(w, ts, d, grain, max_rows=rows)
+    return new_date_members(w, ts, d, grain)
 
 
 def movie_step(w, d, rows=None):
-    return new_entity_members(w, "slug", S.MOVIE_ATTRIBUTES, d, "movie_key", max_rows=rows)
+    return new_entity_members(w, "slug", S.MOVIE_ATTRIBUTES, d, "movie_key")
 
 
 def genre_step(w, d, rows=None):
-    # exploded arrays: the window's row count bounds nothing, so count
     return new_members(exploded_values(w, "genres", "genre_name"), d, "genre_name", "genre_id", "int")
 
 
 def bridge_step(w, dim_genre, existing, rows=None):
-    return bridge_rows(w, "movie_id", "genres", dim_genre, "genre_name", "genre_id", existing, rows)
+    return bridge_rows(w, "movie_id", "genres", dim_genre, "genre_name", "genre_id", existing)
 
 
 def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) -> list[Lookup]:
@@ -159,8 +156,8 @@ def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) ->
 
 def fact_step(w, dims, existing, order_first=("landing",), rows=None):
     src = one_row_per_id(w, "movie_id", [*order_first, *FACT_SOURCE])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS, probe=w, probe_rows=rows),
-                         existing, probe=w, probe_rows=rows)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS, probe=w),
+                         existing, probe=w)
 
 
 DIM_STEPS = {

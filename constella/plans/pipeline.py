@@ -47,6 +47,7 @@ class RunOptions:
     date_grain: str = "timestamp"        # or "day": one dim_date row per day
     sentinel_years: tuple = SENTINEL_YEARS
     empty_genres_as_default: bool = False
+    strict_window: bool = False          # admit by the date mark instead of by batch
     parallelism: int = 8                 # concurrent dimension steps (1 = sequential)
 
 
@@ -56,12 +57,19 @@ class RunResult:
     last_date: object
     window_rows: int
     null_date_rows: int
+    late_rows: int = 0
 
 
 def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
-              options: RunOptions = RunOptions(), last_page: int | None = None) -> RunResult:
+              options: RunOptions = RunOptions(), last_page: int | None = None,
+              source: str | None = None) -> RunResult:
     """Load ``landed`` (raw movie rows, ``RAW_MOVIE`` columns) as batch
-    ``batch_id`` (default: last committed + 1)."""
+    ``batch_id`` (default: last committed + 1).
+
+    The run's slice is the dated rows of its own batch: every load is
+    insert-only, so a row that landed late is loaded like any other (and
+    counted as ``late_rows``).  ``options.strict_window`` admits by the date
+    mark alone instead."""
     if batch_id is None:
         prev = read_state(wh)
         batch_id = (prev["batch_id"] if prev else 0) + 1
@@ -81,18 +89,25 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
     # partition.  The upper bound is pinned once (one scalar to the driver).
     if options.lookback:
         silver = wh.read("cleaned_data", upto=n, keep_batch=True)
+        if last is not None:    # nothing below the lookback can qualify
+            silver = silver.filter(F.col(TS).isNull() & (F.col(BATCH) == n) | (F.col(TS) > _literal(silver, last, options.lookback)))
     else:
         silver = _batch(wh, "cleaned_data", n)
     # one aggregate gives the pinned upper bound and the run's counters: all
     # rows with ts > lower are <= max(ts), so the window is exactly them
-    lower = F.col(TS) > _literal(silver, last, options.lookback) if last is not None else F.col(TS).isNotNull()
+    by_date = last is not None and (options.strict_window or options.lookback)
+    lower = F.col(TS) > _literal(silver, last, options.lookback) if by_date else F.col(TS).isNotNull()
+    late = F.col(TS) <= as_bound(silver, TS, last) if last is not None else F.lit(False)
     stats = silver.agg(
         F.max(TS).alias("upper"),
         F.count(F.when(lower, 1)).alias("rows"),
         F.count(F.when(F.col(TS).isNull() & (F.col(BATCH) == n), 1)).alias("null_dates"),
+        F.count(F.when(late & (F.col(BATCH) == n), 1)).alias("late"),
     ).first()
     upper, window_rows, null_dates = stats["upper"], stats["rows"], stats["null_dates"]
-    window = incremental_window(silver, TS, last=last, upper=upper, lookback=options.lookback)
+    window = incremental_window(silver, TS, last=last if by_date else None, upper=upper, lookback=options.lookback)
+    if not by_date:
+        window = window.filter(F.col(TS).isNotNull())
 
     # dimensions: each reads its own table below N and writes batch N
     steps = dict(DIM_STEPS)
@@ -119,11 +134,11 @@ def run_batch(wh: Warehouse, landed: DataFrame, batch_id: int | None = None,
     wh.write("fact_movies", _fact(window, dims, wh.read("fact_movies", below=n), options, window_rows), n)
 
     # commit: the state row, written last; an empty window keeps the mark
-    new_last = upper if window_rows else last
+    new_last = max((x for x in (upper if window_rows else None, last) if x is not None), default=None)
     write_state(wh, n, new_last, last_page if last_page is not None else prev_page,
-                window_rows, null_dates)
+                window_rows, null_dates, stats["late"], source)
     wh.refresh_catalog()
-    return RunResult(n, new_last, window_rows, null_dates)
+    return RunResult(n, new_last, window_rows, null_dates, stats["late"])
 
 
 def _literal(df: DataFrame, last, lookback: str | None):
@@ -141,8 +156,8 @@ def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions,
     if options.date_grain != "day":
         return fact_step(window, dims, existing, order_first=(BATCH,), rows=rows)
     src = one_row_per_id(window, "movie_id", [BATCH, *FACT_SOURCE, "_day"])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS, probe=window, probe_rows=rows),
-                         existing, probe=window, probe_rows=rows)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS, probe=window),
+                         existing, probe=window)
 
 
 def committed(wh: Warehouse, name: str) -> DataFrame:

@@ -148,6 +148,8 @@ STATE = _s(
     ("window_rows", LongType()),
     ("null_date_rows", LongType()),
     ("committed_at", TimestampNTZType()),
+    ("late_rows", LongType()),
+    ("source", StringType()),
 )
 
 

@@ -27,11 +27,16 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "constella",
-                  shuffle_partitions: int = 8, conf: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "constella",
+                  shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
+    """``master`` and ``shuffle_partitions`` are set only when given, so that
+    submitted settings hold."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     settings = dict(BASE_CONF)
-    settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
     for k, v in settings.items():
         builder = builder.config(k, v)
@@ -49,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="constella-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -12,11 +12,11 @@ from constella.sources.pages import (
     write_pages,
 )
 from constella.sources.literal import empty_table, literal_rows
-from constella.sources.state import committed_state, read_state, write_state
+from constella.sources.state import read_state, write_state
 from constella.sources.tables import Warehouse
 
 __all__ = [
-    "Warehouse", "committed_state", "empty_table", "literal_rows", "contiguous_mark", "landed_movies", "landed_prefix", "page_plan",
+    "Warehouse", "empty_table", "literal_rows", "contiguous_mark", "landed_movies", "landed_prefix", "page_plan",
     "page_stats", "page_status", "read_pages", "read_state", "total_pages", "write_pages",
     "write_state",
 ]

@@ -12,15 +12,25 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructField, StructType
 
 from constella.schemas import ENVELOPE
 
 CORRUPT = "_corrupt_record"
 
 
+def _rating_as_text(t: DataType) -> DataType:
+    if isinstance(t, ArrayType):
+        return ArrayType(_rating_as_text(t.elementType))
+    if isinstance(t, StructType):
+        return StructType([StructField(f.name, StringType() if f.name == "rating" else _rating_as_text(f.dataType))
+                           for f in t.fields])
+    return t
+
+
 def envelope_schema(with_page: bool = True) -> StructType:
-    fields = list(ENVELOPE.fields) + [StructField(CORRUPT, StringType(), True)]
+    # ratings are read as text: one that isn't a number costs its field and not the page
+    fields = [StructField(f.name, _rating_as_text(f.dataType), True) for f in ENVELOPE.fields] + [StructField(CORRUPT, StringType(), True)]
     if with_page:
         fields.append(StructField("page", LongType(), True))
     return StructType(fields)
@@ -29,7 +39,7 @@ def envelope_schema(with_page: bool = True) -> StructType:
 def read_pages(spark: SparkSession, landing: str, multiline: bool = False) -> DataFrame:
     """One row per landed page: ``page, movie_count, n_movies, failed, movies``.
     A truncated / malformed file gives ``failed = true`` instead of an error;
-    integer ratings are read as double and missing fields as NULL (declared
+    ratings are numbers or text (``landed_movies`` casts them) and missing fields as NULL (declared
     schema, nothing inferred)."""
     df = (spark.read.schema(envelope_schema())
               .option("mode", "PERMISSIVE")
@@ -52,12 +62,12 @@ def pages_of(df: DataFrame) -> DataFrame:
 def landed_movies(pages: DataFrame, keep_page: bool = False) -> DataFrame:
     """Movie rows of the landed pages (``explode`` of ``data.movies``)."""
     m = pages.select("page", F.explode("movies").alias("m"))
-    return m.select(*(["page"] if keep_page else []), "m.*")
+    return m.select(*(["page"] if keep_page else []), "m.*").withColumn("rating", F.col("rating").try_cast("double"))
 
 
 def total_pages(pages: DataFrame, limit: int) -> Column:
     """``ceil(movie_count / limit)`` of the newest count, as a scalar subquery."""
-    return pages.select(F.ceil(F.max("movie_count") / F.lit(limit)).cast("bigint")).scalar()
+    return pages.select(F.ceil(F.max_by("movie_count", F.when(F.col("movie_count").isNotNull(), F.col("page"))) / F.lit(limit)).cast("bigint")).scalar()
 
 
 def page_plan(spark: SparkSession, last_page: int, max_page: int) -> DataFrame:
@@ -94,9 +104,11 @@ def contiguous_mark(status: DataFrame, last_page: int | Column) -> Column:
     missing, failed or partly filled pages (those stay open for the next run).
     Scalar subquery; equals ``last_page`` when the first planned page is bad."""
     last = last_page if isinstance(last_page, Column) else F.lit(last_page).cast("bigint")
-    first_open = status.select(F.min(F.when(~F.coalesce(F.col("complete"), F.lit(False)) |
-                                            (F.col("status") != "landed"), F.col("page")))).scalar()
     top = status.select(F.max("page")).scalar()
+    # only the last page may still be filling; a short or empty page before it is final
+    open_ = F.col("status").isin("missing", "failed") | (
+        (F.col("page") == top) & ~F.coalesce(F.col("complete"), F.lit(False)))
+    first_open = status.select(F.min(F.when(open_, F.col("page")))).scalar()
     return F.coalesce(first_open - 1, top, last)
 
 

@@ -24,12 +24,13 @@ def read_state(wh: Warehouse, below: int | None = None) -> Row | None:
     return df.orderBy(F.col("batch_id").desc()).limit(1).first()
 
 
-def committed_state(wh: Warehouse) -> Row | None:
-    return read_state(wh)
+def batch_of(wh: Warehouse, source: str) -> int | None:
+    """The batch that a source's slice (a stream's epoch) was committed as."""
+    return wh.read("state", keep_batch=True).filter(F.col("source") == source).agg(F.max("batch_id")).first()[0]
 
 
 def write_state(wh: Warehouse, batch_id: int, last_date, last_page, window_rows: int,
-                null_date_rows: int) -> None:
+                null_date_rows: int, late_rows: int = 0, source: str | None = None) -> None:
     row = (batch_id, last_date, last_page, window_rows, null_date_rows,
-           dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+           dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), late_rows, source)
     wh.write("state", literal_rows(wh.spark, S.STATE, [row]), batch_id)

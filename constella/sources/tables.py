@@ -63,6 +63,12 @@ class Warehouse:
             empty = self._empty(name).withColumn(BATCH, F.lit(0).cast("bigint"))
             empty.write.partitionBy(BATCH).mode("overwrite").parquet(self.path(name))
             self._empty(name).write.mode("overwrite").parquet(f"{self.path(name)}/{BATCH}=0")
+        if names is None:    # a stream that starts over must see its files again
+            where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.stream_checkpoint())
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+    def stream_checkpoint(self) -> str:
+        return f"{self.root.rstrip('/')}/_stream_checkpoint"
 
     def read(self, name: str, upto: int | None = None, below: int | None = None,
              keep_batch: bool = False, only: int | None = None) -> DataFrame:
@@ -84,11 +90,6 @@ class Warehouse:
         (df.select(*cols).write.mode("overwrite")
            .parquet(f"{self.path(name)}/{BATCH}={batch_id}"))
 
-    def register_views(self, upto: int) -> None:
-        """Temp views ``<name>`` over the committed rows, for ``spark.table`` / SQL."""
-        for name in SCHEMAS:
-            self.read(name, upto=upto).createOrReplaceTempView(name)
-
     # --- catalog registration (namespaces + external partitioned tables) ------
 
     def table_name(self, name: str) -> str:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from constella.plans.pipeline import RunOptions, run_batch
 from constella.sources.pages import envelope_schema, landed_movies, pages_of
+from constella.sources.state import batch_of
 from constella.sources.tables import Warehouse
 
 
@@ -36,10 +37,12 @@ def run_stream(wh: Warehouse, landing: str, checkpoint: str | None = None,
                max_files_per_trigger: int | None = None, wait: bool = True) -> StreamingQuery:
     """Process every page file landed so far, then stop (``availableNow``)."""
     spark = wh.spark
-    checkpoint = checkpoint or f"{wh.root.rstrip('/')}/_stream_checkpoint"
+    checkpoint = checkpoint or wh.stream_checkpoint()
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        run_batch(wh, landed_movies(pages_of(batch)), batch_id=epoch_id + 1, options=options)
+        # a replayed epoch is written over its own batch; any other goes after the last one, whoever wrote that
+        source = f"{checkpoint}#{epoch_id}"
+        run_batch(wh, landed_movies(pages_of(batch)), batch_id=batch_of(wh, source), options=options, source=source)
 
     q = (landed_stream(spark, landing, multiline, max_files_per_trigger)
          .writeStream.trigger(availableNow=True)

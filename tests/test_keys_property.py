@@ -18,5 +18,5 @@ def test_dense_keys_equals_row_number(spark, values, offset, parts):
                          .cast("bigint").alias("k"))
     want = sorted(map(tuple, expected.collect()), key=repr)
     for limit in (None, 1_000_000):
-        got = dense_keys(df, ["v"], "k", offset, single_task_limit=limit)
+        got = dense_keys(df, ["v"], "k", offset)
         assert sorted(map(tuple, got.collect()), key=repr) == want

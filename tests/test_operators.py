@@ -89,7 +89,7 @@ def test_absent_from_null_safe(spark):
 @pytest.mark.parametrize("limit", [None, 1_000_000])
 def test_dense_keys_matches_row_number(spark, limit):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 5003).alias("v")).repartition(7)
-    keyed = dense_keys(df, ["v"], "k", offset=10, single_task_limit=limit)
+    keyed = dense_keys(df, ["v"], "k", offset=10)
     rows = sorted((r.v, r.k) for r in keyed.collect())
     assert [k for _, k in rows] == list(range(11, 5011))
 
@@ -98,7 +98,7 @@ def test_dense_keys_nulls_first_and_scalar_offset(spark):
     df = spark.createDataFrame([("b",), (None,), ("a",)], "v string")
     dim = spark.createDataFrame([(41, "x"), (42, "y")], "k long, v string")
     off = dim.select(F.max("k")).scalar()
-    got = {r.v: r.k for r in dense_keys(df, ["v"], "k", off, single_task_limit=None).collect()}
+    got = {r.v: r.k for r in dense_keys(df, ["v"], "k", off).collect()}
     assert got == {None: 43, "a": 44, "b": 45}
 
 
