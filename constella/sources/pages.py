@@ -39,7 +39,7 @@ def envelope_schema(with_page: bool = True) -> StructType:
 def read_pages(spark: SparkSession, landing: str, multiline: bool = False) -> DataFrame:
     """One row per landed page: ``page, movie_count, n_movies, failed, movies``.
     A truncated / malformed file gives ``failed = true`` instead of an error;
-    ratings are numbers or text (``landed_movies`` casts them) and missing fields as NULL (declared
+    ratings may be numbers or text, and missing fields as NULL (declared
     schema, nothing inferred)."""
     df = (spark.read.schema(envelope_schema())
               .option("mode", "PERMISSIVE")
@@ -55,14 +55,14 @@ def pages_of(df: DataFrame) -> DataFrame:
         F.col("data.movie_count").alias("movie_count"),
         F.coalesce(F.size("data.movies"), F.lit(0)).alias("n_movies"),
         F.col(CORRUPT).isNotNull().alias("failed"),
-        F.col("data.movies").alias("movies"),
+        F.transform("data.movies", lambda m: m.withField("rating", m["rating"].try_cast("double"))).alias("movies"),
     )
 
 
 def landed_movies(pages: DataFrame, keep_page: bool = False) -> DataFrame:
     """Movie rows of the landed pages (``explode`` of ``data.movies``)."""
     m = pages.select("page", F.explode("movies").alias("m"))
-    return m.select(*(["page"] if keep_page else []), "m.*").withColumn("rating", F.col("rating").try_cast("double"))
+    return m.select(*(["page"] if keep_page else []), "m.*")
 
 
 def total_pages(pages: DataFrame, limit: int) -> Column:
