@@ -1,5 +1,7 @@
 """Text cut into chunks whose byte-level BPE encodings concatenate to that of the whole text.
 
+Many texts are cut at once by Arrow, whose dictionary leaves each distinct chunk to be looked up once.
+
 The vocabulary's pattern never lets a pre-token run from a character that isn't white space into a following space,
 and looks no further back; so a text may be cut before every single space between two other characters.  Chunks
 repeat (they are words with punctuation), and so do their pre-tokens; each worker keeps the encodings of recent ones.
@@ -10,13 +12,19 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 # Fixed value: the pattern of the byte-level vocabularies
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Python's \s holds every character that the vocabulary's pattern takes for white space, and a few more: no wrong cut
 _UNCLEAR = re.compile(r" \s|\s ")
+# The same by the white space characters themselves, for Arrow
+_UNCLEAR_RE2 = "( [{0}]|[{0}] )".format("".join(c for c in map(chr, range(0x3001)) if c.isspace()))
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+SLICE = 1 << 23
 
 
 def cut_text(text: str) -> list[str]:
@@ -71,14 +79,65 @@ class ChunkCache:
             self.words.turn()
         return [b"".join([found[w] for w in words]) for words in pieces]
 
+    def _find(self, chunks: list[str]) -> list[bytes]:
+        """Encodings of distinct chunks, given without the space that they begin with."""
+        out = list(map(self.chunks.find, chunks))
+        missing = [i for i, x in enumerate(out) if x is None]
+        for i, x in zip(missing, self._split_all([" " + chunks[i] for i in missing])):
+            out[i] = x
+            if len(chunks[i]) <= self.longest:
+                self.chunks[chunks[i]] = x
+        self.chunks.turn()
+        return out
+
+    def _coded(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Encodings of the distinct chunks of ``texts``, the place of each chunk of each text among them, and where
+        each text's chunks begin (a text has one at least)."""
+        parts = pc.split_pattern(texts, " ")
+        unclear = np.flatnonzero(pc.match_substring_regex(texts, _UNCLEAR_RE2).to_numpy(zero_copy_only=False))
+        if len(unclear):
+            order = np.arange(len(texts))
+            order[unclear] = len(texts) + np.arange(len(unclear))
+            cut = pa.array([cut_text(texts[int(i)].as_py()) for i in unclear], parts.type)
+            parts = pa.concat_arrays([parts, cut]).take(pa.array(order))
+        starts = (ends := parts.offsets.to_numpy())[:-1] - ends[0]
+        chunks = parts.flatten()
+        rest, heads = chunks.dictionary_encode(), chunks.take(pa.array(starts)).dictionary_encode()
+        known = self._find(rest.dictionary.to_pylist()) + self._split_all(heads.dictionary.to_pylist())
+        codes = rest.indices.to_numpy().astype(np.int64)
+        codes[starts] = heads.indices.to_numpy().astype(np.int64) + len(rest.dictionary)
+        return known, codes, starts
+
+    def _slices(self, texts: pa.Array):
+        """``texts`` in runs of about SLICE bytes (a longer text is a run of its own)."""
+        texts = texts.fill_null("")
+        run = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64)) // SLICE
+        at = [0, *(np.flatnonzero(np.diff(run)) + 1), len(texts)]
+        return [texts.slice(a, b - a) for a, b in zip(at, at[1:]) if b > a]
+
+    def count_all(self, texts: pa.Array) -> np.ndarray:
+        """Number of ids of each text; a null is the empty text."""
+        out = [np.empty(0, np.int64)]
+        for part in self._slices(texts):
+            known, codes, starts = self._coded(part)
+            sizes = np.array(list(map(len, known)), dtype=np.int64) // 4
+            out.append(np.add.reduceat(sizes[codes], starts))
+        return np.concatenate(out)
+
+    def encode_all(self, texts: pa.Array, dtype: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of ids of each; a null is the empty text."""
+        flat, counts = [np.empty(0, dtype)], [np.empty(0, np.int64)]
+        for part in self._slices(texts):
+            known, codes, starts = self._coded(part)
+            sizes = np.array(list(map(len, known)), dtype=np.int64) // 4
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(known), dtype)))
+            flat.append(lists.take(pa.array(codes)).flatten().to_numpy())
+            counts.append(np.add.reduceat(sizes[codes], starts))
+        return np.concatenate(flat), np.concatenate(counts)
+
     def encode(self, text: str) -> bytes:
         head, *rest = cut_text(text)
-        get, find = self.chunks.get, self.chunks.find
-        out = [get(x) for x in rest]
-        if None in out:
-            missing = list(dict.fromkeys(w for w, x in zip(rest, out) if x is None and find(w) is None))
-            found = dict(zip(missing, self._split_all([" " + w for w in missing])))
-            out = [(found.get(w) or get(w)) if x is None else x for w, x in zip(rest, out)]
-            self.chunks.update((w, x) for w, x in found.items() if len(w) <= self.longest)
-            self.chunks.turn()
-        return b"".join((self._split_all([head]) if head else []) + out)
+        distinct = list(dict.fromkeys(rest))
+        found = dict(zip(distinct, self._find(distinct)))
+        return b"".join((self._split_all([head]) if head else []) + [found[w] for w in rest])

@@ -20,7 +20,6 @@ from bisect import bisect_left, insort
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -178,7 +177,7 @@ def token_lengths(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: st
     def count(batches):
         enc = encoder(tokenizer)
         for batch in batches:
-            n = np.array([len(enc.encode(t)) + 1 for t in batch.column("_text").to_pylist()], dtype=np.int64)
+            n = enc.count_all(batch.column("_text")) + 1
             yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(n)], names=[key, "length"])
 
     return rows.mapInArrow(count, f"`{key}` bigint, length bigint")

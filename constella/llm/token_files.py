@@ -19,6 +19,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +63,15 @@ class TextEncoder:
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
         return np.frombuffer(self.cache.encode(text), dtype="<u4")
 
+    def _alone(self, texts: pa.Array) -> bool:
+        return not self.plain or any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special)
+
+    def count_all(self, texts: pa.Array) -> np.ndarray:
+        """Number of ids of each text."""
+        if self._alone(texts):
+            return np.array([len(self.encode(t)) for t in texts.to_pylist()], dtype=np.int64)
+        return self.cache.count_all(texts)
+
 
 def encoder(path: str) -> TextEncoder:
     """One encoder for a worker process, so that its cache outlives a task."""

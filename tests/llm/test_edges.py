@@ -147,3 +147,26 @@ def test_empty_tables(spark, docs):
     pages = spark.createDataFrame([(1, "u", "a"), (2, None, "a"), (None, "u", "a"), (3, "u", None)], "page_id bigint, url string, html string")
     got = {r.key: (r.record_type, r.refers_to, r.payload_bytes) for r in read_warc(write_warc(pages, shared_dir(spark, "w"))).collect()}
     assert got == {1: ("revisit", 2, 1), 2: ("response", None, 1), None: ("revisit", 2, 1), 3: ("response", None, 0)}
+
+
+def test_batches_of_texts_encode_as_the_library_does(monkeypatch):
+    import random
+
+    import public_tokenizers
+    import pyarrow as pa
+
+    from constella.llm import chunks
+    from constella.llm.token_files import TextEncoder
+
+    monkeypatch.setattr(chunks, "SLICE", 4096)
+    enc, draw = TextEncoder(public_tokenizers.path("byte_bpe_50k.json")), random.Random(7)
+    letters = " \t\n\r\x0b\x1c\x85\u00a0\u2003\u3000\u200bab'sZ\u00e91\u6f22!   "
+    texts = ["".join(draw.choices(letters, k=draw.randrange(30))) for _ in range(3000)]
+    texts += [None, "", " ", " " * 20_000, "a" * 20_000, "word " * 20_000]
+    want = [enc.tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    ids, counts = enc.cache.encode_all(pa.array(texts))
+    assert counts.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+    assert enc.count_all(pa.array(texts)).tolist() == counts.tolist()
+    assert enc.count_all(pa.array(["a <|endoftext|> b", None])).tolist() == [4, 0]
+    assert enc.count_all(pa.array([], pa.string())).tolist() == []
