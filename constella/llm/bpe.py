@@ -79,8 +79,8 @@ class Codec:
         self.pieces = [p for _, p in pairs]
         self.table = dict(pairs)
         self.ranks = {p: i for i, p in pairs}    # of the pairs that merging meets
-        self._words = None
-        self.cache = ChunkCache(self._many, pattern)
+        self._words = self.places = None
+        self.cache = ChunkCache(self._many, pattern, chunks=60_000, words=250_000)
 
     @property
     def words(self) -> PerfectHash:
@@ -126,9 +126,27 @@ class Codec:
         """Ids as little-endian 32-bit integers."""
         return self.cache.encode(text) if text else b""
 
+    def encode_all(self, texts: pa.Array) -> pa.ListArray:
+        """The ids of each text."""
+        ids, counts = self.cache.encode_all(texts, "<i4")
+        ends = np.concatenate([[0], np.cumsum(counts)]).astype("i4")
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, pa.int32()))
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))
 
+    def decode_all(self, lists: pa.ListArray) -> pa.Array:
+        """The bytes of each list of ids; an id that isn't in the vocabulary is an error."""
+        if self.places is None:
+            self.places = pa.array([self.table.get(i) for i in range(self.ids[-1] + 1)], pa.large_binary())
+        pieces = self.places.take(lists.flatten())
+        if pieces.null_count:
+            raise ValueError("an id that isn't in the vocabulary")
+        _, ends, data = pieces.buffers()
+        at = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy())]).astype(np.int64)
+        ends = np.frombuffer(ends, dtype="i8", count=len(pieces) + 1) if len(pieces) else np.zeros(1, dtype="i8")
+        return pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(ends[at]), data]).cast(pa.binary())
+
 
 def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _codecs:
@@ -145,10 +163,9 @@ def bpe_encode(df: DataFrame, path: str, pattern: str, text: str = "text", out:
     def encode(batches):
         enc = codec(path, pattern)
         for batch in batches:
-            found = [enc.encode(t) for t in batch.column(text).to_pylist()]
-            ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in found])]).astype("i4")
-            flat = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
-            yield _replaced(batch, out, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat))
+            for at in range(0, batch.num_rows, 1000):    # a few MB of ids at a time
+                part = batch.slice(at, 1000)
+                yield _replaced(part, out, enc.encode_all(part.column(text)))
 
     df = df.drop(out)
     return df.mapInArrow(encode, T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
@@ -159,10 +176,9 @@ def bpe_decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: st
     def decode(batches):
         enc = codec(path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):    # a document's ids at a time, few documents a batch
+            for at in range(0, batch.num_rows, 500):    # few documents a batch
                 part = batch.slice(at, 500)
-                found = [enc.decode(x.values.to_pylist() if x.is_valid else []) for x in part.column(ids)]
-                yield _replaced(part, out, pa.array(found, pa.binary()))
+                yield _replaced(part, out, enc.decode_all(part.column(ids)))
 
     df = df.drop(out)
     return df.mapInArrow(decode, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))

@@ -170,3 +170,20 @@ def test_batches_of_texts_encode_as_the_library_does(monkeypatch):
     assert enc.count_all(pa.array(texts)).tolist() == counts.tolist()
     assert enc.count_all(pa.array(["a <|endoftext|> b", None])).tolist() == [4, 0]
     assert enc.count_all(pa.array([], pa.string())).tolist() == []
+
+
+def test_batches_of_ids_decode_to_the_texts():
+    import public_tokenizers as P
+    import pyarrow as pa
+
+    from constella.llm.bpe import codec
+
+    own = codec(P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+    texts = ["drop", None, "", "plain words, again words", "\u6f22\U0001f600 \u00e9\n\n x", " " * 5000, "ab" * 9000]
+    lists = own.encode_all(pa.array(texts))
+    assert [x.as_py() for x in lists] == [np.frombuffer(own.encode(t), "<i4").tolist() for t in texts]
+    assert own.decode_all(lists.slice(1)).to_pylist() == [(t or "").encode() for t in texts[1:]]
+    assert own.decode_all(pa.array([None, [], [1]], pa.list_(pa.int32()))).to_pylist() == [b"", b"", own.decode([1])]
+    assert own.decode_all(pa.array([], pa.list_(pa.int32()))).to_pylist() == []
+    with pytest.raises(ValueError):
+        own.decode_all(pa.array([[own.ids[-1], None]], pa.list_(pa.int32())))
