@@ -72,6 +72,13 @@ class TextEncoder:
             return np.array([len(self.encode(t)) for t in texts.to_pylist()], dtype=np.int64)
         return self.cache.count_all(texts)
 
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and the number of ids of each."""
+        if self._alone(texts):
+            found = [self.encode(t) for t in texts.to_pylist()]
+            return np.concatenate([np.empty(0, "<u4"), *found]), np.array(list(map(len, found)), dtype=np.int64)
+        return self.cache.encode_all(texts)
+
 
 def encoder(path: str) -> TextEncoder:
     """One encoder for a worker process, so that its cache outlives a task."""
@@ -172,13 +179,15 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, k
 
     def write(batches):
         enc, now = encoder(tokenizer), None
-        for batch in batches:
-            for shard, k, t in zip(*(batch.column(c).to_pylist() for c in ("_shard", "_key", "_text"))):
+        for part in (batch.slice(at, 1000) for batch in batches for at in range(0, batch.num_rows, 1000)):
+            ids, counts = enc.encode_all(part.column("_text"))
+            texts = np.split(ids, np.cumsum(counts)[:-1])
+            for shard, k, x in zip(part.column("_shard").to_pylist(), part.column("_key").to_pylist(), texts):
                 if now is None or now.shard != shard:
                     if now is not None:
                         yield _manifest([now.close()])
                     now = _ShardFile(root, shard, seq_len, dtype)
-                now.add(k, np.append(enc.encode(t), np.uint32(end_id)))
+                now.add(k, np.append(x, np.uint32(end_id)))
         if now is not None:
             yield _manifest([now.close()])
 
