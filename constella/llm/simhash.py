@@ -24,6 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from constella.llm.common import connected_components, cut
 
@@ -63,6 +64,17 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle
     return rows.mapInArrow(hashed, f"`{key}` bigint, fp bigint")
 
 
+def fingerprinted(df: DataFrame, text: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
+    """``df`` with ``_fp``, the fingerprint of each row; for rows that no id tells apart."""
+    def hashed(batches):
+        for batch in batches:
+            fps = np.array([simhash(t, shingle, seed) for t in batch.column(text).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))],
+                                             names=[*batch.schema.names, "_fp"])
+
+    return df.mapInArrow(hashed, T.StructType([*df.schema.fields, T.StructField("_fp", T.LongType())]))
+
+
 class BKTree:
     def __init__(self):
         self.fps: list[int] = []
@@ -165,14 +177,19 @@ def links(fps: DataFrame, radius: int = 2, most: int = 256) -> DataFrame:
     return candidate_groups(fps, radius, most).mapInArrow(search, "u bigint, v bigint")
 
 
+def components(classes: DataFrame, radius: int = 2) -> DataFrame:
+    """``classes`` (distinct ``fp`` and other columns) with ``root``, the same for all of a component."""
+    roots = connected_components(links(classes.select("fp"), radius))
+    return classes.join(roots, classes["fp"] == roots["node"], "left").select(
+        *classes.columns, F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, radius: int = 2,
                     seed: int = 42) -> DataFrame:
     """(key, fp, component_id): every document with the smallest id of its component."""
     prints = cut(fingerprints(df, key, text, shingle, seed), name="simhash")
     classes = cut(prints.groupBy("fp").agg(F.min(key).alias("low")), name="classes")
-    roots = connected_components(links(classes.select("fp"), radius))
-    classes = classes.join(roots, classes["fp"] == roots["node"], "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root"))
+    classes = components(classes, radius)
     lowest = classes.groupBy("root").agg(F.min("low").alias("component_id"))
     named = classes.join(lowest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(key, "fp", "component_id")

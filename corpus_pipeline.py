@@ -6,13 +6,13 @@ columns of ``documents``; the last returns the packing of what is left.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from constella.llm.common import cut, importable
 from constella.llm.langid import UNKNOWN, fit, predict
 from constella.llm.queries import SURROGATE_KEY, packed
-from constella.llm.simhash import near_duplicates
+from constella.llm.simhash import components, fingerprinted
 from constella.llm.surrogates import replace
 
 #: Least likeness (1 - out-of-place distance) to the nearest profile; short clean texts stay well above it.
@@ -28,16 +28,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep, of each group of documents linked by fingerprints two bits apart or fewer, the one with the smallest id.
-
-    Rows without an id can't be named as copies and stay; of rows with the same id and text one stays."""
+    """Keep one row of each group of rows linked by fingerprints two bits apart or fewer: that with the smallest id,
+    and of those the smallest by text and the other columns.  Ids neither link rows nor tell them apart, so rows that
+    share an id but not a text are judged by their texts, and rows without an id take part (an id goes before none)."""
     importable(spark)
-    found = near_duplicates(docs.filter("doc_id is not null"), shingle=3, radius=2, seed=42)
-    keep = cut(found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), name="keep")
-    # by rank and not by dropDuplicates, so that the row that stays is the same in every run
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_first(), F.xxhash64(*docs.columns))
-    named = docs.join(keep, "doc_id", "left_semi").withColumn("_nth", F.row_number().over(order))
-    return named.filter("_nth = 1").select(*docs.columns).union(docs.filter("doc_id is null"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.struct(F.col("doc_id").isNull().alias("_unnamed"), "doc_id", "text", *others)
+    # partial aggregates: a large group of copies is a row a task before each shuffle
+    classes = cut(fingerprinted(docs, shingle=3, seed=42).groupBy(F.col("_fp").alias("fp")).agg(
+        F.min(first).alias("_row")), name="classes")
+    kept = components(classes, radius=2).groupBy("root").agg(F.min("_row").alias("_row"))
+    return kept.select("_row.*").select(*docs.columns)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
