@@ -15,16 +15,13 @@ from constella.llm.queries import SURROGATE_KEY, packed
 from constella.llm.simhash import components, fingerprinted
 from constella.llm.surrogates import replace
 
-#: Least likeness (1 - out-of-place distance) to the nearest profile; short clean texts stay well above it.
-MIN_LANGUAGE_SCORE = 0.25
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in one of the languages that ``lang`` names; reject null texts, texts without letters, and texts
-    that are near no profile.  Profiles are learned from all documents with a lang."""
+    that share no n-gram with any profile.  Profiles are learned from all documents with a lang."""
     importable(spark)
     found = predict(docs, fit(docs))
-    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Rows that earlier versions dropped, missed or left as they were."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -25,3 +27,15 @@ def test_near_copies_keeps_one_row_of_each_group_of_texts(spark, documents):
     assert kept([(3, x), (7, x), (7, y), (8, y)]) == sorted([(3, x), (7, y)], key=repr)
     assert kept([(None, x), (5, x), (None, z), (None, z)]) == sorted([(5, x), (None, z)], key=repr)
     assert kept([]) == []
+
+
+def test_language_keeps_clean_texts_whose_profile_holds_few_of_their_ngrams(spark, documents):
+    # a script without spaces: most pairs and triples of a text lie outside a profile of 400
+    rng = random.Random(5)
+    signs = [chr(0x4e00 + i) for i in range(3000)]
+    text = lambda n: "".join(rng.choices(signs, [1 / (i + 1) for i in range(3000)], k=n))
+    rows = [(i, text(rng.randint(10, 400)), "zh") for i in range(150)]
+    rows += [(1000, None, "zh"), (1001, "12 !!", "zh"), (1002, "щж", "zh"), (1003, "the fox and the dog", "en")]
+    # (1002) takes part in learning, but its n-grams are too rare for a profile
+    got = {r.doc_id for r in corpus_pipeline.language(spark, documents(rows), "").collect()}
+    assert got == {*range(150), 1003}
