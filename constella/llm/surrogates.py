@@ -14,6 +14,8 @@ Collision checks run over the distinct entities of the whole table: no two entit
 none is a form that occurs in the table.  The larger of two that clash, or the one that hit a real form, draws again
 with the next attempt number until no clash is left.  Those few attempt numbers are joined to the texts that need them.
 
+What isn't detected is listed in the README.
+
 Nulls and ties: a null text stays null with zero entities; repeated rows are treated alike; other columns pass
 through, one that already has an output's name is replaced.
 """
@@ -37,26 +39,58 @@ SCRIPTS = {
     "greek": ("βγδζκλμνπρστ", "αεηιου", {"m": ["ος", "ης"], "f": ["α", "ια"], "x": ["ις"]},
               {"m": ["ίδης", "ος"], "f": ["ίδου", "ου"], "x": ["άκη"]}),
 }
-_SECRET = r"(?i:\b(?:token|api[_-]?key|secret(?:[_-]?key)?|password|passwd))[^\w\n]{1,8}"
+#: Lengths of the IBANs of a country, without spaces
+IBANS = {15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ XK LT LU", 21: "HR LV LI CH",
+         22: "BH BG CR GE DE IE ME RS GB VA", 23: "GI IQ IL TL AE", 24: "AD CZ MD PK RO SA SK ES SE TN VG", 25: "LY PT ST",
+         26: "IS TR", 27: "FR GR IT MR MC SM", 28: "AL AZ BY CY DO SV GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU",
+         31: "MT SC", 32: "LC"}
+_KEYWORD = r"(?i:\b(?:token|api[_-]?key|secret(?:[_-]?key)?|password|passwd))"
+_GAP = r"[^\p{L}\p{N}_\n]+"
+_SECRET = _KEYWORD + _GAP
+_ASSIGNED = _KEYWORD + r"(?=[^\p{L}\p{N}_\n]*[:=：＝])" + _GAP
+_RUN = r"[^\s。，、；！？」』）]"
+# a value ends with its last letter or digit: signs stay where they are in any case
+_VALUE = rf"(?:[\p{{L}}\p{{N}}_]{_RUN}*)?[\p{{L}}\p{{N}}]"
+
+
+def _quoted(q: str) -> str:
+    """The value between two quotes, spaces and escaped quotes included."""
+    return rf"(?<={q})(?=[^{q}\n]{{4,}}{q})[^{q}\n]*[\p{{L}}\p{{N}}](?:[^\p{{L}}\p{{N}}{q}\n]*(?<=\\){q}[^{q}\n]*[\p{{L}}\p{{N}}])*"
+
+
+def _iban(length: int) -> str:
+    groups, rest = divmod(length - 4, 4)
+    return rf"(?:{IBANS[length].replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}" + (rf" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
 _TITLE = "(?:" + "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True)) + r")\.? "
+_LOW = r"[\p{Ll}\p{M}]+"
+_WORD = rf"(?:\p{{Lu}}['’])?\p{{Lu}}\p{{M}}*{_LOW}(?:\p{{Lu}}{_LOW})?(?:['’-]\p{{Lu}}\p{{M}}*{_LOW}(?:\p{{Lu}}{_LOW})?)*"
+_NATIONAL = r"^(?:(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}|0\d(?:[ .-]\d{2}){4}|0\d{2,4}[ /-]\d{5,8})$"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 PATTERN = "|".join([
-    _SECRET + r"[A-Za-z0-9_-]{16,128}(?!\w)",
+    _ASSIGNED + "(?:" + "|".join(map(_quoted, "\"'`")) + rf"|(?={_RUN}{{4}}){_VALUE})",
+    # in running text only what no word looks like: with a digit, or long
+    _SECRET + rf"(?={_RUN}{{8}})(?={_RUN}*\d|[A-Za-z0-9_-]{{16}}){_VALUE}",
     r"(?<![\w.+-])[\p{L}\p{N}][\p{L}\p{N}._%+-]{0,63}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
+    r"(?<!\w)(?:" + "|".join(map(_iban, IBANS)) + r")(?!\w)",
     r"(?<!\w)[A-Z]{2}\d{2} ?[A-Z0-9]{4}(?: ?\d{4}){1,6}(?: ?\d{1,3})?(?!\w)",
     r"(?<![\w+])\+\d{1,3}[^\w\n]{0,5}\(\d{2,4}\)[^\w\n]{0,5}\d{3}[^\w\n]{1,3}\d{4}(?!\d)",
     r"(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)",
     r"(?<![\w+(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)",
+    r"(?<![\w+])\+(?=(?:[ ()./-]{0,3}\d){8})\d{1,15}[ .-]?(?:\(\d{1,4}\)[ .-]?)?(?:\d{1,10}(?:[ ./-]\d{2,8}){0,5})?(?!\d)",
+    r"(?<![\w.+-])(?:1[ .-])?(?:\d{3}[ .-]\d{3}[ .-]\d{4})(?!\w|[.-]\d)",
+    r"(?<![\w.+/-])(?:0\d(?:[ .-]\d{2}){4}|0\d{2,4}[ /-]\d{5,8})(?!\w|[./-]\d)",
     rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
     r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    r"(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?!\w)",
-    r"(?<!\w)" + _TITLE + r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?(?!\w)",
+    r"(?<![\w.])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:-\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5})(?!\w)",
+    r"(?<!\w)" + _TITLE + rf"{_WORD}(?: {_WORD})?(?![\p{{L}}\p{{M}}\p{{N}}_])",
 ])
 
 
 def _kind(m: Column) -> Column:
     return (F.when(m.rlike("^" + _SECRET), "secret").when(m.contains("@"), "email")
-            .when(m.rlike(r"^[A-Z]{2}\d{2}"), "iban").when(m.rlike(r"^[+(]"), "phone")
+            .when(m.rlike(r"^[A-Z]{2}\d{2}"), "iban").when(m.rlike(r"^[+(]") | m.rlike(_NATIONAL), "phone")
             .when(m.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "address").when(m.rlike(r"^\d{3}-\d{2}-\d{4}$"), "ssn")
             .when(m.rlike(r"^\d"), "card").otherwise("name"))
 
@@ -84,9 +118,10 @@ def _parts(m: Column) -> Column:
 
 def _canonical(part: Column) -> Column:
     kind, value = part["kind"], part["value"]
-    return (F.when(kind.isin("secret", "email"), F.lower(value))
+    # İ is the one letter that is longer in lower case
+    return (F.when(kind == "secret", F.lower(F.translate(value, "İ", "i"))).when(kind == "email", F.lower(value))
             .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
-            .when(kind == "iban", F.regexp_replace(value, " ", "")).otherwise(value))
+            .when(kind == "iban", F.regexp_replace(value, " ", "")).otherwise(F.translate(value, "’", "'")))
 
 
 def _digest(kind: Column, canonical: Column, attempt: Column, key: str) -> Column:
@@ -105,8 +140,7 @@ def _pick(letters: str | list[str], n: Column) -> Column:
 
 def _characters(text: Column, change) -> Column:
     """``change(character, place from 0)`` at every place, joined."""
-    return F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))),
-                                    lambda i: change(F.substr(text, i, F.lit(1)), i - 1)), "")
+    return F.array_join(F.transform(F.split(text, ""), change), "")
 
 
 def _luhn(digits: Column, n: Column) -> Column:
@@ -145,8 +179,11 @@ def _drawn(e: Column) -> Column:
     email = F.concat(_characters(rest, lambda c, i: F.when(c.rlike(r"\p{N}"), digit(i)).when(
         c.rlike(r"\p{L}"), letter(i, "abcdefghijklmnopqrstuvwxyz")).otherwise(c)), top)
     hexa = canonical.rlike("^[0-9a-f]+$")
-    secret = _characters(canonical, lambda c, i: F.when(c.rlike("[0-9]"), digit(i)).when(c.rlike("[a-z]"), F.when(
+    secret = _characters(canonical, lambda c, i: F.when(c.rlike(r"\p{N}"), digit(i)).when(c.rlike(r"\p{L}"), F.when(
         hexa, letter(i, "abcdef")).otherwise(letter(i, "abcdefghijklmnopqrstuvwxyz"))).otherwise(c))
+    # short ones have few others of their length: they grow in the end
+    secret = F.when(attempt < 8, secret).otherwise(F.concat(secret, F.array_join(F.transform(
+        F.sequence(F.lit(0), attempt), lambda i: letter(i + 64, "abcdefghijklmnopqrstuvwxyz")), "")))
     iban = _characters(canonical, lambda c, i: F.when(i < 2, c).when(c.rlike("[0-9]"), digit(i)).otherwise(
         letter(i, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")))
     drawn = (F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn)
@@ -175,6 +212,12 @@ def _written(value: Column, drawn: Column) -> Column:
                        step, lambda s: s["out"])
 
 
+def _secret_written(value: Column, drawn: Column) -> Column:
+    """Like ``_written`` for a surrogate with a character for each of ``value``, or more; in linear time."""
+    return F.array_join(F.zip_with(F.split(value, ""), F.split(drawn, ""), lambda a, b: F.when(
+        a.isNull(), b).when(a.rlike(r"\p{Lu}"), F.upper(b)).when(a.rlike(r"[\p{L}\p{N}]"), b).otherwise(a)), "")
+
+
 def _with_digest(entity: Column, attempt: Column, key: str) -> Column:
     return F.struct(entity["kind"].alias("kind"), entity["canonical"].alias("canonical"), attempt.alias("attempt"),
                     _digest(entity["kind"], entity["canonical"], attempt, key).alias("digest"))
@@ -236,7 +279,7 @@ def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
         p["kind"] != "", _with_digest(p, attempt(p), key)).alias("e"))))
     steps = F.transform(steps, each(lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), _drawn(p["e"]).alias("drawn"))))
     written = F.transform(steps, lambda parts: F.array_join(F.transform(parts, lambda p: F.when(
-        p["kind"] == "", p["value"]).when(p["kind"].rlike("^(address|given|family)"), p["drawn"])
+        p["kind"] == "", p["value"]).when(p["kind"] == "secret", _secret_written(p["value"], p["drawn"])).when(p["kind"].rlike("^(address|given|family)"), p["drawn"])
         .otherwise(_written(p["value"], p["drawn"]))), ""))
     between = F.split(F.col(text).cast("string"), PATTERN, -1)
     joined = F.array_join(F.zip_with(between, written, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")

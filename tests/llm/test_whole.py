@@ -39,3 +39,38 @@ def test_language_keeps_clean_texts_whose_profile_holds_few_of_their_ngrams(spar
     # (1002) takes part in learning, but its n-grams are too rare for a profile
     got = {r.doc_id for r in corpus_pipeline.language(spark, documents(rows), "").collect()}
     assert got == {*range(150), 1003}
+
+
+LEFT = [    # (text, what must not stay, what must)
+    ("password: hunter2x end", ["hunter2x"], ["password: ", " end"]), ("password=Ab/c+d.e=9f then", ["Ab", "9f"], ["then"]),
+    ("token " + "aB3_" * 400 + ".", ["aB3_aB3_"], ["token "]), ('{"password": "correct horse \\"x\\" battery", "n": 1}', ["horse", "battery"], ['"n": 1}']),
+    ("api_key='s3/cr+et.v' ok", ["s3/cr", "et.v"], ["api_key='", "' ok"]), ("passwd: пароль99", ["пароль"], ["passwd: "]),
+    ("call +14155551234 now", ["4155551234"], ["call +", " now"]), ("call 555-123-4567 now", ["555-123-4567"], ["call ", " now"]),
+    ("call +49 30 1234567, or 06 12 34 56 78", ["1234567", "12 34 56 78"], ["call +", ", or "]),
+    ("pay FR14 2004 1010 0505 0001 3M02 606 NOW", ["0505", "3M02", "606"], ["pay FR", " NOW"]),
+    ("pay MT84MALT011000012345MTLCAST001S.", ["MTLCAST001S"], ["pay MT"]), ("card 3782 822463 10005 ok", ["822463"], ["card 3", " ok"]),
+    ("Mrs Smith-Jones met Mr O'Brien and Dr McDonald's dog", ["Smith", "Jones", "Brien", "Donald"], ["Mrs ", " met Mr ", "'s dog"]),
+    ("Mr Müller-Lüdenscheidt", ["Müller", "scheidt"], ["Mr "]),
+]
+KEPT = ["the password should be long, and the secret ingredient: love", "a token of my esteem", "on 2024-01-02 at 10.20.30", None, ""]
+
+
+def test_surrogates_replace_whole_values_of_any_length_and_form(spark, documents):
+    from constella.llm.surrogates import replace
+
+    rows = [t for t, _, _ in LEFT] + KEPT + ["password: 1", "password: " + "x1" * 20_000]
+    got = {r.doc_id: r for r in replace(documents([(i, t, "en") for i, t in enumerate(rows)]), "k").collect()}
+    for i, (text, gone, stay) in enumerate(LEFT):
+        assert got[i].n_entities and not [g for g in gone if g in got[i].text], (text, got[i].text)
+        assert not [x for x in stay if x not in got[i].text], (text, got[i].text)
+    for i, text in enumerate(KEPT, len(LEFT)):
+        assert got[i].text == text and got[i].n_entities == 0
+    assert len(got[len(rows) - 1].text) == len(rows[-1]) and "x1x1x1x1" not in got[len(rows) - 1].text
+
+
+def test_surrogates_of_short_secrets_never_run_out(spark, documents):
+    from constella.llm.surrogates import replace
+
+    rows = [f"password: {i:04d}" for i in range(0, 10_000, 1)]    # every value of four digits is a real one
+    got = {r.text for r in replace(documents([(i, t, "en") for i, t in enumerate(rows)]), "k").collect()}
+    assert len(got) == len(rows) and not got & set(rows)
