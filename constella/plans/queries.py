@@ -326,6 +326,45 @@ def q_union(spark, sf_dir):
     return distinct_values(w1, "year").union(sentinel)
 
 
+# --- A1 A2 J3 U1 over both windows (the queries above each read one of them) ----
+_BOTH = "(SELECT * FROM w1 UNION ALL SELECT * FROM w2)"
+
+
+def _both_windows(spark, sf_dir):
+    w1, w2 = _windows(spark, sf_dir)
+    return w1.unionByName(w2)
+
+
+@query("q_distinct_both", W2 + f"""
+SELECT DISTINCT year FROM {_BOTH}""")
+def q_distinct_both(spark, sf_dir):
+    return distinct_values(_both_windows(spark, sf_dir), "year")
+
+
+@query("q_distinct_multi_both", W2 + f"""
+SELECT DISTINCT slug, url, title FROM {_BOTH}""")
+def q_distinct_multi_both(spark, sf_dir):
+    return _both_windows(spark, sf_dir).select("slug", "url", "title").distinct()
+
+
+@query("q_inner_join_both", STAR2 + f"""
+SELECT p.movie_id, g.genre_id FROM (SELECT movie_id, unnest(genres) AS genre_name FROM {_BOTH}) p
+JOIN dg_2 g ON g.genre_name = p.genre_name""")
+def q_inner_join_both(spark, sf_dir):
+    s = silver(spark, sf_dir)
+    w1, w2 = batch_windows(s, 2)
+    dim = star_states(s, 2, ["dim_genre"])["dim_genre"][2]
+    pairs = w1.unionByName(w2).select("movie_id", F.explode("genres").alias("genre_name"))
+    return pairs.join(dim, on=pairs["genre_name"] == dim["genre_name"], how="inner").select("movie_id", "genre_id")
+
+
+@query("q_union_both", W2 + f"""
+SELECT DISTINCT year FROM {_BOTH} UNION ALL SELECT CAST(4000 AS BIGINT) AS year""")
+def q_union_both(spark, sf_dir):
+    sentinel = literal_rows(spark, StructType([StructField("year", LongType())]), [(4000,)])
+    return distinct_values(_both_windows(spark, sf_dir), "year").union(sentinel)
+
+
 # --- S13 U2: insert-only merge with an overlapping second window --------------------
 @query("q_merge_insert", with_(sql_silver_ctes(CUTS_2), windows_ctes(2, lookback="90 days")) + """
 SELECT movie_id, imdb_code, language FROM w1

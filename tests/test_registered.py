@@ -1,5 +1,7 @@
 """Registered queries that the comparison with DuckDB alone would not guard."""
 
+import pytest
+
 import __spark_entry__ as entry
 from constella.plans.check import compare, duck
 from tests.conftest import SF_SMALL
@@ -17,3 +19,14 @@ def test_only_the_named_queries_lack_a_twin():
 def test_dense_key_query_runs_and_numbers_every_order(spark):
     r = compare(spark, SF_SMALL, "q_dense_key", entry.queries()["q_dense_key"], entry.oracle_sql()["q_dense_key"], duck(SF_SMALL))
     assert r["ok"], r
+
+
+@pytest.mark.parametrize("name", ["q_distinct", "q_distinct_multi", "q_inner_join", "q_union"])
+def test_both_windows_are_read(spark, name):
+    both = f"{name}_both"
+    con = duck(SF_SMALL)
+    r = compare(spark, SF_SMALL, both, entry.queries()[both], entry.oracle_sql()[both], con)
+    assert r["ok"], r
+    rows = lambda q: len(con.sql(entry.oracle_sql()[q]).fetchall())
+    # both windows hold the same years
+    assert rows(both) == rows(name) if name in ("q_distinct", "q_union") else rows(both) > rows(name)
