@@ -6,16 +6,6 @@ import __spark_entry__ as entry
 from constella.plans.check import compare, duck
 from tests.conftest import SF_SMALL
 
-#: Operators and stages that SQL cannot express; everything else has a twin.
-WITHOUT_SQL = {"op2_token_files", "op3_language", "op4_vectors", "op5_fingerprints", "op6_simhash", "op7_kneser_ney",
-               "op8_surrogates", "op9_packing", "op10_bpe", "pipeline"}
-
-
-def test_only_the_named_queries_lack_a_twin():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == WITHOUT_SQL
-    assert set(entry.oracle_sql()) <= set(entry.queries())
-
-
 def test_dense_key_query_runs_and_numbers_every_order(spark):
     r = compare(spark, SF_SMALL, "q_dense_key", entry.queries()["q_dense_key"], entry.oracle_sql()["q_dense_key"], duck(SF_SMALL))
     assert r["ok"], r
