@@ -11,7 +11,8 @@ from pyspark.sql import Window
 from constella.session import materialize as cut
 from constella.session import shared_dir
 
-__all__ = ["cut", "shared_dir", "table", "importable", "id_crc", "ordered_shards", "connected_components"]
+__all__ = ["cut", "shared_dir", "table", "importable", "id_crc", "ordered_shards", "connected_components",
+           "running"]
 
 #: A histogram of keys never has more rows than this, whatever the input (a proven broadcast bound).
 MAX_BLOCKS = 65_536
@@ -94,3 +95,34 @@ def connected_components(edges: DataFrame) -> DataFrame:
 def _mark(pairs: DataFrame) -> tuple:
     """Count and order-free hash of the rows, to see that a round changed nothing."""
     return tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def running(df: DataFrame, group: str, order: list[Column], weight: Column | None = None,
+            about: DataFrame | None = None) -> DataFrame:
+    """Add ``_before``, the summed ``weight`` of the rows that go before a row in its ``group`` by ``order`` (its place
+    from 0 where no weight is given), and ``_total``, the sum over the group; null is a group.  ``about`` (unique on
+    ``group``) adds its columns.
+
+    One range-partitioned sort by group and order, cut to Parquet, so a group of any size is spread over partitions.
+    Sums of each (partition, group) carry over by a window over as many rows as a group has partitions; ``about``
+    joins those sums, and rows meet them by (partition, group), never by a hot group alone.  Rows that tie in
+    ``order`` may change places; make it total over the columns that matter.
+    """
+    ranked = df.withColumn("_w", F.lit(1) if weight is None else weight)
+    ranked = ranked.orderBy(F.col(group).asc_nulls_first(), *order).withColumn("_rid", F.monotonically_increasing_id())
+    ranked = cut(ranked.withColumn("_part", F.shiftright("_rid", 33)), name="running")
+    sums = ranked.groupBy("_part", group).agg(F.sum("_w").alias("_sum"), F.min("_rid").alias("_first"))
+    span = Window.partitionBy(group)
+    sums = sums.select("*", F.sum("_sum").over(span).alias("_total"), F.coalesce(F.sum("_sum").over(
+        span.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base")).drop("_sum")
+    if about is not None:
+        named = about.withColumnRenamed(group, "_about")
+        sums = sums.join(named, F.col(group).eqNullSafe(F.col("_about")), "left").drop("_about")
+    sums = sums.withColumnsRenamed({"_part": "_p", group: "_g"})
+    found = ranked.join(sums, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g"))).drop("_p", "_g")
+    if weight is None:
+        found = found.withColumn("_before", F.col("_base") + F.col("_rid") - F.col("_first"))
+    else:
+        inner = Window.partitionBy("_part", group).orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
+        found = found.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_w").over(inner), F.lit(0)))
+    return found.drop("_w", "_rid", "_part", "_first", "_base")
