@@ -18,6 +18,17 @@ def bridge_rows(window: DataFrame, id_col: str, array_col: str, dim: DataFrame,
     pairs = window.select(F.col(id_col), F.explode(array_col).alias(natural_key)).distinct()
     keyed = pairs.join(dim.select(natural_key, key), on=natural_key, how="inner").select(id_col, key)
     if existing is not None:
-        existing = reduce_to_probe(existing, window, [id_col])
-        keyed = absent_from(keyed, existing, [id_col, key], null_safe=True)
+        keyed = absent_pairs(keyed, existing, window, id_col, key)
     return keyed
+
+
+def absent_pairs(keyed: DataFrame, existing: DataFrame, window: DataFrame, id_col: str, key: str) -> DataFrame:
+    """Pairs that ``existing`` lacks.  The id alone is the join key, the member's key a condition beside it, so that
+    pairs bucketed by id are joined where they lie; pairs without an id are compared apart, null with null."""
+    known = reduce_to_probe(existing, window, [id_col], null_safe=False).alias("_known")
+    named = keyed.filter(F.col(id_col).isNotNull()).alias("_new")
+    match = ((F.col(f"_new.{id_col}") == F.col(f"_known.{id_col}")) &
+             F.col(f"_new.{key}").between(F.col(f"_known.{key}"), F.col(f"_known.{key}")))
+    fresh = named.join(known, match, "left_anti").select(id_col, key)
+    unnamed = absent_from(keyed.filter(F.col(id_col).isNull()), existing.filter(F.col(id_col).isNull()), [id_col, key])
+    return fresh.unionByName(unnamed)

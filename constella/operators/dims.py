@@ -16,7 +16,7 @@ from pyspark.sql.types import StructField, StructType
 
 from constella.functions.dates import DATE_ATTRIBUTES, date_attributes, date_grain
 from constella.operators.keys import dense_keys, key_offset
-from constella.operators.merge import absent_from
+from constella.operators.merge import absent_by_key, absent_from
 from constella.sources.literal import literal_rows
 
 
@@ -73,5 +73,7 @@ def new_date_members(window: DataFrame, ts: str, dim: DataFrame,
 def new_entity_members(window: DataFrame, natural_key: str, attrs: Sequence[str],
                        dim: DataFrame, key: str) -> DataFrame:
     """Multi-attribute dimension (the movie): one row per natural key, then
-    only keys absent from ``dim``, numbered after its max key."""
-    return new_members(one_row_per_key(window, natural_key, attrs), dim, natural_key, key)
+    only keys absent from ``dim``, numbered after its max key.  The dimension
+    grows with history; one bucketed by its natural key isn't shuffled."""
+    fresh = absent_by_key(one_row_per_key(window, natural_key, attrs), dim, natural_key)
+    return dense_keys(fresh, [natural_key], key, key_offset(dim, key)).select(*dim.columns)

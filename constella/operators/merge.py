@@ -45,6 +45,15 @@ def absent_from(src: DataFrame, target: DataFrame, keys: Sequence[str],
         *[F.col(f"_src.{c}") for c in src.columns])
 
 
+def absent_by_key(src: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """As null-safe ``absent_from`` on one key, but joined by plain equality, which a target bucketed (or otherwise
+    partitioned) by ``key`` meets without a shuffle; ``<=>`` would shuffle it.  Whether the target has a NULL key is
+    a scalar subquery of its own, whose filter reaches the scan."""
+    has_null = target.filter(F.col(key).isNull()).agg(F.count(F.lit(1)) > 0).scalar()
+    return (src.join(target.select(key), on=key, how="left_anti").select(*src.columns)
+               .filter(F.col(key).isNotNull() | ~has_null))
+
+
 def insert_only(src: DataFrame, target: DataFrame, keys: Sequence[str],
                 null_safe: bool = True) -> DataFrame:
     """Rows a ``MERGE ... WHEN NOT MATCHED THEN INSERT *`` would add, in the

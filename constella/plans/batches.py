@@ -30,7 +30,7 @@ from constella.operators import (
     one_row_per_id,
     with_sentinels,
 )
-from constella.operators.window import advance_mark, incremental_window
+from constella.operators.window import incremental_window
 from constella.plans.concurrent import run_all
 from constella.session import materialize
 from constella.sources.literal import empty_table
@@ -42,40 +42,16 @@ FACT_COLUMNS = [f.name for f in S.FACT_MOVIES.fields]
 
 
 def batch_windows(silver: DataFrame, n_batches: int, ts: str = TS,
-                  landing: str = "landing", lookback: str | None = None,
-                  pin: bool = True) -> list[DataFrame]:
-    """Window of every batch.  ``pin`` (default) computes each batch's upper
-    bound and mark once -- one scalar each to the driver, as a run does --
-    so the many steps reading a window do not re-run the bound aggregates;
-    ``pin=False`` keeps them as scalar subqueries inside one plan."""
-    return [w for w, _ in pinned_windows(silver, n_batches, ts, landing, lookback)] if pin else \
-        _subquery_windows(silver, n_batches, ts, landing, lookback)
-
-
-def pinned_windows(silver: DataFrame, n_batches: int, ts: str = TS, landing: str = "landing",
-                   lookback: str | None = None) -> list[tuple[DataFrame, int]]:
-    """``(window, row count)`` per batch; one aggregate job per batch gives the
-    upper bound, and one the window's count and max (the next mark)."""
-    out: list[tuple[DataFrame, int]] = []
-    mark = None
+                  landing: str = "landing", lookback: str | None = None) -> list[DataFrame]:
+    """Window of every batch.  Each batch's upper bound and mark are computed once -- one scalar each to the driver,
+    as a run does -- so the many steps reading a window do not re-run the bound aggregates."""
+    windows, mark = [], None
     for k in range(1, n_batches + 1):
         landed = silver.filter(F.col(landing) <= k)
         upper = landed.agg(F.max(ts)).first()[0]
-        w = incremental_window(landed, ts, last=mark, upper=upper, lookback=lookback)
-        st = w.agg(F.max(ts).alias("mx"), F.count(F.lit(1)).alias("n")).first()
-        mark = st["mx"] if st["mx"] is not None else mark
-        out.append((w, st["n"]))
-    return out
-
-
-def _subquery_windows(silver, n_batches, ts, landing, lookback) -> list[DataFrame]:
-    windows: list[DataFrame] = []
-    mark: Column | None = None
-    for k in range(1, n_batches + 1):
-        landed = silver.filter(F.col(landing) <= k)
-        w = incremental_window(landed, ts, last=mark, lookback=lookback)
-        windows.append(w)
-        mark = advance_mark(w, ts, mark)
+        windows.append(incremental_window(landed, ts, last=mark, upper=upper, lookback=lookback))
+        top = windows[-1].agg(F.max(ts)).first()[0]
+        mark = top if top is not None else mark
     return windows
 
 
@@ -87,15 +63,15 @@ def empty(spark, schema: StructType) -> DataFrame:
 
 def grow_states(windows: Sequence[DataFrame], start: DataFrame,
                 step: Callable[..., DataFrame],
-                cut: bool = True, counts: Sequence[int] | None = None) -> list[DataFrame]:
+                cut: bool = True) -> list[DataFrame]:
     """``states[k]`` = table after batch k (``states[0]`` = ``start``), where
     ``step(window, table_so_far)`` returns the rows batch k inserts.  With
     ``cut`` each batch's rows are written (Parquet in the shared folder), as
     a committed run writes them, so later batches read a table with real
     statistics instead of re-planning the earlier batches."""
     states = [start]
-    for i, w in enumerate(windows):
-        rows = step(w, states[-1]) if counts is None else step(w, states[-1], rows=counts[i])
+    for w in windows:
+        rows = step(w, states[-1])
         if cut:
             rows = materialize(rows, name="batch-rows")
         states.append(states[-1].unionByName(rows))
@@ -108,38 +84,35 @@ def grow(windows, start, step) -> DataFrame:
 
 # --- steps of one batch (also used by the committed pipeline) -----------------
 
-# ``rows`` (optional) is the window's row count: distinct values of one column
-# cannot outnumber it, so it bounds the members to number.
-
-def language_step(w, d, rows=None):
+def language_step(w, d):
     return new_members(distinct_values(w, "language"), d, "language", "language_key")
 
 
-def runtime_step(w, d, rows=None):
+def runtime_step(w, d):
     return new_members(distinct_values(w, "runtime"), d, "runtime", "runtime_key")
 
 
-def rating_step(w, d, rows=None):
+def rating_step(w, d):
     return new_members(distinct_values(w, "rating"), d, "rating", "rating_key")
 
 
-def year_step(w, d, rows=None, sentinels=SENTINEL_YEARS):
+def year_step(w, d, sentinels=SENTINEL_YEARS):
     return new_members(with_sentinels(distinct_values(w, "year"), "year", sentinels), d, "year", "year_key")
 
 
-def date_step(w, d, rows=None, grain="timestamp", ts=TS):
+def date_step(w, d, grain="timestamp", ts=TS):
     return new_date_members(w, ts, d, grain)
 
 
-def movie_step(w, d, rows=None):
+def movie_step(w, d):
     return new_entity_members(w, "slug", S.MOVIE_ATTRIBUTES, d, "movie_key")
 
 
-def genre_step(w, d, rows=None):
+def genre_step(w, d):
     return new_members(exploded_values(w, "genres", "genre_name"), d, "genre_name", "genre_id", "int")
 
 
-def bridge_step(w, dim_genre, existing, rows=None):
+def bridge_step(w, dim_genre, existing):
     return bridge_rows(w, "movie_id", "genres", dim_genre, "genre_name", "genre_id", existing)
 
 
@@ -154,7 +127,7 @@ def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) ->
     ]
 
 
-def fact_step(w, dims, existing, order_first=("landing",), rows=None):
+def fact_step(w, dims, existing, order_first=("landing",)):
     src = one_row_per_id(w, "movie_id", [*order_first, *FACT_SOURCE])
     return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS, probe=w),
                          existing, probe=w)
@@ -184,16 +157,14 @@ def star_states(silver: DataFrame, n_batches: int,
         wanted.add("dim_genre")
     if "fact_movies" in wanted:
         wanted.update(FACT_DIMS)
-    pinned = pinned_windows(silver, n_batches)
-    ws, counts = [w for w, _ in pinned], [n for _, n in pinned]
-    tasks = {name: (lambda schema=schema, step=step: grow_states(ws, empty(spark, schema), step,
-                                                                 counts=counts))
+    ws = batch_windows(silver, n_batches)
+    tasks = {name: (lambda schema=schema, step=step: grow_states(ws, empty(spark, schema), step))
              for name, (schema, step) in DIM_STEPS.items() if name in wanted}
     out = run_all(tasks)
     if "genre_junction" in wanted:
         bridge = [empty(spark, S.GENRE_JUNCTION)]
         for k, w in enumerate(ws, start=1):
-            rows = materialize(bridge_step(w, out["dim_genre"][k], bridge[-1], counts[k - 1]),
+            rows = materialize(bridge_step(w, out["dim_genre"][k], bridge[-1]),
                                name="batch-rows")
             bridge.append(bridge[-1].unionByName(rows))
         out["genre_junction"] = bridge
@@ -201,7 +172,7 @@ def star_states(silver: DataFrame, n_batches: int,
         fact = [empty(spark, S.FACT_MOVIES)]
         for k, w in enumerate(ws, start=1):
             dims_k = {name: out[name][k] for name in FACT_DIMS}
-            rows = fact_step(w, dims_k, fact[-1], rows=counts[k - 1])
+            rows = fact_step(w, dims_k, fact[-1])
             if k < n_batches:
                 rows = materialize(rows, name="batch-rows")
             fact.append(fact[-1].unionByName(rows))

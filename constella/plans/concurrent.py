@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 
 def run_all(tasks: dict[str, Callable[[], object]], max_workers: int = 8) -> dict[str, object]:
     if len(tasks) <= 1 or max_workers <= 1:
         return {name: fn() for name, fn in tasks.items()}
     with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in tasks.items()}
+        futures = {name: pool.submit(copy_context().run, fn) for name, fn in tasks.items()}
         return {name: f.result() for name, f in futures.items()}

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from constella.operators import dense_keys
 from constella.operators.clean import clean
-from constella.plans.pipeline import committed, committed_sql, run_batch, run_landed
+from constella.plans.pipeline import RunOptions, committed, committed_sql, run_batch, run_landed
 from constella.plans.queries import SILVER_OUT, query
 from constella.plans.sqlgen import star_ctes, windows_ctes, with_
 from constella.plans.standins import CUTS_3, raw_movies, sql_silver_ctes, table
@@ -30,6 +30,9 @@ from constella.sources.tables import Warehouse
 from constella.streaming.landed import run_stream
 
 API_PAGE_SIZE = 50     # fixed value: rows per landed page
+RUN_PAGE_SIZE = 250    # page size of the queries that land a folder a page
+TRUNCATED = '{"data": {"movie_count": 9, "movies": [{"id": 1, "title": "cut'      # a page whose transfer broke off
+EMPTY_PAGE = '{"data": {"movie_count": 9, "movies": []}}'
 PLAN_PAGE_SIZE = 64    # page size of the planning queries (leaves a partly filled last page)
 
 
@@ -68,14 +71,19 @@ def q_batch_end_to_end(spark, sf_dir):
     return _resolved_committed(wh)
 
 
+def paged(spark, sf_dir: str, limit: int = API_PAGE_SIZE, cuts=()) -> tuple[DataFrame, F.Column]:
+    """The stand-in movie rows with their page (pages of ``limit`` rows in id order), and their count as a scalar."""
+    raw = raw_movies(spark, sf_dir, cuts)
+    ranked = dense_keys(raw if cuts else raw.drop("landing"), ["id"], "_rank")
+    rows = ranked.withColumn("page", page_numbers(ranked, "_rank", limit)).drop("_rank")
+    return rows, table(spark, sf_dir, "orders").select(F.count(F.lit(1))).scalar()
+
+
 def land_standin(spark, sf_dir: str, limit: int = API_PAGE_SIZE, one_dir_per_page: bool = False) -> str:
     """Write the stand-in movie rows as page envelopes (pages of ``limit`` rows
     in id order) into a fresh shared folder; returns the folder."""
     landing = shared_dir(spark, "landing")
-    raw = raw_movies(spark, sf_dir).drop("landing")
-    ranked = dense_keys(raw, ["id"], "_rank")
-    rows = ranked.withColumn("page", page_numbers(ranked, "_rank", limit)).drop("_rank")
-    count = table(spark, sf_dir, "orders").select(F.count(F.lit(1))).scalar()
+    rows, count = paged(spark, sf_dir, limit)
     write_pages(rows, landing, "page", count, limit, one_dir_per_page)
     return landing
 
@@ -98,6 +106,147 @@ def q_stream(spark, sf_dir):
     return _resolved_committed(wh)
 
 
+# --- batches by page: what each run takes, in pages ------------------------------------
+def _windows_by_page(*ranges: str) -> str:
+    """``w1 ..`` as the runs see them: the dated rows of the pages that each batch takes."""
+    ranked = (f"ranked AS (SELECT *, (row_number() OVER (ORDER BY movie_id) - 1) // {RUN_PAGE_SIZE} + 1 AS page FROM silver),\n"
+              "top AS (SELECT max(page) AS m FROM ranked)")
+    return ",\n".join([ranked, *[f"w{k} AS (SELECT r.* EXCLUDE (landing), {k} AS landing FROM ranked r, top "
+                                 f"WHERE ({cond}) AND date_uploaded IS NOT NULL)" for k, cond in enumerate(ranges, start=1)]])
+
+
+# --- R1 S3: a stream that loses its checkpoint, then the daily run: every page once ----
+@query("q_stream_split", with_(sql_silver_ctes(()), _windows_by_page("page <= m // 2", "page > m // 2"), *star_ctes(2)) +
+       RESOLVED.format(n=2))
+def q_stream_split(spark, sf_dir):
+    """Streamed over half of the pages; the checkpoint is lost; streamed again over all of them; then the daily run
+    over the same folder.  The ledger lets each page in once."""
+    landing, checkpoints = shared_dir(spark, "landing"), shared_dir(spark, "checkpoints")
+    rows, count = paged(spark, sf_dir, RUN_PAGE_SIZE)
+    top = rows.agg(F.max("page")).first()[0] or 0
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    for run, half in enumerate([F.col("page") <= top // 2, F.col("page") > top // 2], start=1):
+        write_pages(rows.filter(half), landing, "page", count, RUN_PAGE_SIZE, run=str(run))
+        run_stream(wh, landing, checkpoint=f"{checkpoints}/{run}", limit=RUN_PAGE_SIZE)
+    run_landed(wh, landing, limit=RUN_PAGE_SIZE)
+    return _resolved_committed(wh)
+
+
+# --- C10 S1-S4 H10 H11: five days of a daily run ------------------------------------------
+@query("q_run_landed_days", with_(sql_silver_ctes(()), _windows_by_page(
+    "page < m // 6 + 1", "page BETWEEN m // 6 + 1 AND 2 * m // 3", "page > 2 * m // 3"), *star_ctes(3)) + RESOLVED.format(n=3))
+def q_run_landed_days(spark, sf_dir):
+    """A page that lands a day late, one that lands partly filled and then whole, one that can't be read until it is
+    landed again, pages beyond gaps, dates out of order, and a day without news: every page's rows once."""
+    landing = shared_dir(spark, "landing")
+    rows, _ = paged(spark, sf_dir, RUN_PAGE_SIZE)
+    rows = materialize(rows, name="paged")
+    total, top = rows.agg(F.count(F.lit(1)), F.max("page")).first()
+    top = top or 0
+    a, b, late = top // 3, 2 * top // 3, top // 6 + 1
+    page, bad = F.col("page"), b + 1
+    partly = (page < a) | ((page == a) & (F.col("id") % 3 == 0))
+    days = [
+        ((page <= a) & (page != late) & partly, a * RUN_PAGE_SIZE),
+        (page.isin(late, a) | (page > a) & (page <= b), b * RUN_PAGE_SIZE),
+        (page > bad, total),
+        (page == bad, total),
+    ]
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    for day, (taken, movie_count) in enumerate(days, start=1):
+        write_pages(rows.filter(taken), landing, "page", F.lit(movie_count).cast("long"), RUN_PAGE_SIZE, run=str(day))
+        if day == 3:
+            spark.range(1).select(F.lit(TRUNCATED)).write.text(f"{landing}/run={day}/page={bad}")
+        run_landed(wh, landing, limit=RUN_PAGE_SIZE)
+    run_landed(wh, landing, limit=RUN_PAGE_SIZE)
+    return _resolved_committed(wh)
+
+
+# --- S1 S4 P8: the outcome of every page, and ratings that aren't numbers -----------------
+@query("q_page_outcomes", with_(sql_silver_ctes(())) + f""",
+ranked AS (SELECT *, (row_number() OVER (ORDER BY movie_id) - 1) // {RUN_PAGE_SIZE} + 1 AS page FROM silver)
+SELECT page, CASE page WHEN 2 THEN 'missing' WHEN 3 THEN 'failed' WHEN 4 THEN 'empty' ELSE 'landed' END AS status,
+       CASE WHEN page IN (2, 3, 4) THEN 0 ELSE count(*) END AS n_movies,
+       CASE WHEN page IN (2, 3, 4) THEN 0 ELSE count(rating) FILTER (WHERE page <> 5 OR movie_id % 2 = 0) END AS n_ratings,
+       page = 3 AS kept_text
+FROM ranked GROUP BY page""")
+def q_page_outcomes(spark, sf_dir):
+    """Streamed over pages of which one is missing, one can't be read, one is empty and one has ratings as text, half
+    of them no numbers; what the ledger says of each."""
+    landing = shared_dir(spark, "landing")
+    rows, count = paged(spark, sf_dir, RUN_PAGE_SIZE)
+    odd = (F.col("page") == 5) & (F.col("id") % 2 != 0)
+    rows = rows.withColumn("rating", F.when(odd, "n/a").otherwise(F.col("rating").cast("string")))
+    rows = materialize(rows, name="paged")
+    write_pages(rows.filter(~F.col("page").isin(2, 3, 4)), landing, "page", count, RUN_PAGE_SIZE, run="1")
+    top = rows.agg(F.max("page")).first()[0] or 0
+    for page, text in [(3, TRUNCATED), (4, EMPTY_PAGE)]:
+        if page <= top:
+            spark.range(1).select(F.lit(text)).write.text(f"{landing}/run=1/page={page}")
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    run_stream(wh, landing, limit=RUN_PAGE_SIZE)
+    ledger = committed(wh, "landed_pages")
+    outcome = page_status(page_plan(spark, 0, top), ledger.withColumn("failed", F.col("status") == "failed"), RUN_PAGE_SIZE)
+    rated = read_pages(spark, landing).select("page", F.size(F.filter("movies", lambda m: m["rating"].isNotNull())).alias("n"))
+    texts = ledger.filter(F.col("raw").isNotNull()).select("page", F.lit(True).alias("text")).distinct()
+    return (outcome.join(rated, "page", "left").join(texts, "page", "left")
+            .select("page", "status", "n_movies", F.greatest(F.coalesce("n", F.lit(0)), F.lit(0)).cast("bigint").alias("n_ratings"),
+                    F.coalesce("text", F.lit(False)).alias("kept_text")))
+
+
+# --- F6 F7: runs with nothing new commit nothing ------------------------------------------
+@query("q_nothing_new", with_(sql_silver_ctes(())) + """
+SELECT step, CAST(1 AS BIGINT) AS batches, (SELECT count(*) FROM silver WHERE date_uploaded IS NOT NULL) AS facts
+FROM (VALUES ('first run'), ('run again'), ('streamed'), ('empty folder')) v(step)""")
+def q_nothing_new(spark, sf_dir):
+    landing = land_standin(spark, sf_dir, RUN_PAGE_SIZE)
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    steps = [("first run", lambda: run_landed(wh, landing, limit=RUN_PAGE_SIZE)),
+             ("run again", lambda: run_landed(wh, landing, limit=RUN_PAGE_SIZE)),
+             ("streamed", lambda: run_stream(wh, landing, limit=RUN_PAGE_SIZE)),
+             ("empty folder", lambda: run_landed(wh, shared_dir(spark, "nowhere")))]
+    seen = None
+    for name, step in steps:
+        step()
+        now = committed(wh, "fact_movies").agg(F.count(F.lit(1)).alias("facts")).select(
+            F.lit(name).alias("step"), F.lit(len(wh.batches())).cast("bigint").alias("batches"), "facts")
+        seen = now if seen is None else seen.unionByName(now)
+    return seen
+
+
+# --- S18: reset and reload -------------------------------------------------------------------
+@query("q_reset_reload", with_(sql_silver_ctes(CUTS_3), windows_ctes(1), *star_ctes(1)) + RESOLVED.format(n=1))
+def q_reset_reload(spark, sf_dir):
+    """Two batches, everything dropped, then the first one alone."""
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    raw = materialize(raw_movies(spark, sf_dir, CUTS_3), name="landed")
+    for k in (2, 1):
+        run_batch(wh, raw.filter(F.col("landing") == k).drop("landing"))
+    wh.reset()
+    run_batch(wh, raw.filter(F.col("landing") == 1).drop("landing"))
+    return _resolved_committed(wh)
+
+
+# --- S9 C2 H19: runs with a lookback, which read the batches that reach into it --------------
+@query("q_lookback", with_(sql_silver_ctes(CUTS_3), windows_ctes(3, lookback="90 days"), *star_ctes(3)) + RESOLVED.format(n=3))
+def q_lookback(spark, sf_dir):
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    raw = materialize(raw_movies(spark, sf_dir, CUTS_3), name="landed")
+    for k in (1, 2, 3):
+        run_batch(wh, raw.filter(F.col("landing") == k).drop("landing"), options=RunOptions(lookback="90 days"))
+    return _resolved_committed(wh)
+
+
+# --- S11 S12: batches rewritten into one between the runs -------------------------------------
+@query("q_compacted", with_(sql_silver_ctes(CUTS_3), windows_ctes(3), *star_ctes(3)) + RESOLVED.format(n=3))
+def q_compacted(spark, sf_dir):
+    wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
+    raw = materialize(raw_movies(spark, sf_dir, CUTS_3), name="landed")
+    for k in (1, 2, 3):
+        run_batch(wh, raw.filter(F.col("landing") == k).drop("landing"), options=RunOptions(compact_every=1))
+    return _resolved_committed(wh)
+
+
 # --- S2-S4 + C10: the daily run over landed pages (page plan, load, page mark) ----
 @query("q_run_landed", with_(sql_silver_ctes(()), windows_ctes(1), *star_ctes(1)) + RESOLVED.format(n=1))
 def q_run_landed(spark, sf_dir):

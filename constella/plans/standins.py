@@ -1,9 +1,9 @@
 """The driver's TPC-H-like tables standing in for movie pages.
 
 ``orders`` rows are movies (``o_orderkey`` = id, ``o_orderdate`` = upload
-date, ``o_orderpriority`` = language, ``o_orderstatus`` = state), the first
-line item of an order is its first torrent, and that line's ``part`` is the
-movie entity (``p_name`` = slug, its words = genres, ``p_brand`` = title,
+date, ``o_orderpriority`` = language, ``o_orderstatus`` = state), the line
+items of an order (0 to 7, in order) are its torrents, and the first one's
+``part`` is the movie entity (``p_name`` = slug, its words = genres, ``p_brand`` = title,
 ``p_type`` = url, ``p_size`` = runtime, ``l_discount`` = rating).
 Orders in status ``P`` arrive without a text date (the first torrent's ship
 date is the fallback); priority ``5-LOW`` orders arrive without unix seconds.
@@ -33,6 +33,7 @@ LINE_FIELDS = [
     "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 ]
+LINE_NUMBERS = range(1, 8)     # fixed value: line numbers of the generator
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -40,17 +41,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def first_lines(lineitem: DataFrame) -> DataFrame:
-    """The first line item of every order (smallest full tuple): an aggregate,
-    so a huge order is combined map-side instead of collected."""
-    return (lineitem.groupBy("l_orderkey")
-                    .agg(F.min(F.struct(*LINE_FIELDS)).alias("line")))
+def order_lines(lineitem: DataFrame) -> DataFrame:
+    """Every order's line items as an ordered array: the smallest (by the full tuple) of each line number.  One
+    conditional minimum a line number, aggregated partially, so an order's rows are never collected however many."""
+    line = F.struct(*LINE_FIELDS)
+    firsts = [F.min(F.when(F.col("l_linenumber") == n, line)).alias(f"_{n}") for n in LINE_NUMBERS]
+    return (lineitem.groupBy("l_orderkey").agg(*firsts)
+                    .select("l_orderkey", F.array_compact(F.array(*[f"_{n}" for n in LINE_NUMBERS])).alias("lines")))
 
 
-def _unix(ts: str) -> F.Column:
+def _unix(ts: str | F.Column) -> F.Column:
     """Unix seconds of a wall-clock (``timestamp_ntz``) value, read as UTC,
     independent of the session time zone."""
-    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts) if isinstance(ts, str) else ts)
 
 
 def landing_batch(ts: F.Column, cuts: Sequence[str]) -> F.Column:
@@ -65,18 +68,20 @@ def raw_movies(spark: SparkSession, sf_dir: str, cuts: Sequence[str] = ()) -> Da
     """Raw movie rows (``RAW_MOVIE`` schema) plus a ``landing`` batch number."""
     orders = table(spark, sf_dir, "orders")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    fl = first_lines(table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_FIELDS))
-    j = (orders.join(fl, orders["o_orderkey"] == fl["l_orderkey"], "left")
+    lines = order_lines(table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_FIELDS))
+    j = (orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
+               .withColumn("line", F.get("lines", F.lit(0)))
                .join(part, F.col("line.l_partkey") == part["p_partkey"], "left"))
-    torrent_values = {
-        "quality": F.col("line.l_returnflag"),
-        "type": F.col("line.l_linestatus"),
-        "seeds": F.col("line.l_linenumber"),
-        "date_uploaded": F.date_format("line.l_shipdate", TS_TEXT),
-        "date_uploaded_unix": _unix("line.l_shipdate"),
-    }
-    torrent = F.struct(*[torrent_values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
-                         for f in TORRENT.fields])
+    def torrent(line):
+        of = {
+            "quality": line["l_returnflag"],
+            "type": line["l_linestatus"],
+            "seeds": line["l_linenumber"],
+            "date_uploaded": F.date_format(line["l_shipdate"], TS_TEXT),
+            "date_uploaded_unix": _unix(line["l_shipdate"]),
+        }
+        return F.struct(*[of.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in TORRENT.fields])
+
     no_date = F.col("o_orderstatus") == "P"
     values = {
         "id": F.col("o_orderkey"),
@@ -90,8 +95,7 @@ def raw_movies(spark: SparkSession, sf_dir: str, cuts: Sequence[str] = ()) -> Da
         "genres": F.split(F.col("p_name"), " "),
         "language": F.col("o_orderpriority"),
         "state": F.col("o_orderstatus"),
-        "torrents": F.when(F.col("line").isNull(), F.array().cast(ArrayType(TORRENT)))
-                     .otherwise(F.array(torrent)),
+        "torrents": F.coalesce(F.transform("lines", torrent), F.array().cast(ArrayType(TORRENT))),
         "date_uploaded": F.when(no_date, F.lit(None)).otherwise(F.date_format("o_orderdate", TS_TEXT)),
         "date_uploaded_unix": F.when(no_date | (F.col("o_orderpriority") == "5-LOW"), F.lit(None))
                                .otherwise(_unix("o_orderdate")),

@@ -18,6 +18,7 @@ from pyspark.sql.types import (
     StructField,
     StructType,
     TimestampNTZType,
+    TimestampType,
 )
 
 
@@ -140,6 +141,19 @@ GOLD = {
     "fact_movies": FACT_MOVIES,
 }
 
+# One row per page that a run has taken or found unreadable; the ledger of landed files.  A page is known by its file's
+# path, length and modification time; ``raw`` keeps the text of a failed page.
+LANDED_PAGES = _s(
+    ("path", StringType()),
+    ("length", LongType()),
+    ("modified", TimestampType()),
+    ("page", LongType()),
+    ("movie_count", LongType()),
+    ("n_movies", LongType()),
+    ("status", StringType()),
+    ("raw", StringType()),
+)
+
 # One row per committed batch; written last, it is the commit record.
 STATE = _s(
     ("batch_id", LongType()),
@@ -150,8 +164,18 @@ STATE = _s(
     ("committed_at", TimestampNTZType()),
     ("late_rows", LongType()),
     ("source", StringType()),
+    ("base", LongType()),          # first live batch: older ones were rewritten into it
+    ("buckets", LongType()),       # of the tables that are bucketed
+    ("min_date", TimestampNTZType()),   # zone map: of the batch's silver rows
+    ("max_date", TimestampNTZType()),
+    ("min_id", LongType()),        # zone map: of the ids that the batch's window loaded
+    ("max_id", LongType()),
+    ("null_ids", LongType()),
 )
 
+# Commit rows of batches that a compaction has rewritten.
+RUN_LOG = StructType([StructField("run", LongType(), True), *[f for f in STATE.fields if f.name != "batch_id"]])
+
 
 def silver_schema() -> StructType:
     raw = {f.name: f.dataType for f in RAW_MOVIE.fields}

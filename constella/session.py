@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +29,10 @@ BASE_CONF = {
 }
 
 
+# Paths of the cuts made inside the innermost ``scratch`` block.
+_CUTS: ContextVar[list | None] = ContextVar("cuts", default=None)
+
+
 def build_session(master: str | None = None, app: str = "constella",
                   shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
     """``master`` and ``shuffle_partitions`` are set only when given, so that
@@ -74,5 +80,33 @@ def materialize(df, path: str | None = None, name: str = "stage"):
     (broadcast decisions) and column pruning, unlike ``checkpoint()``."""
     spark = df.sparkSession
     path = path or shared_dir(spark, name)
+    if (cuts := _CUTS.get()) is not None:
+        cuts.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Spark's own file system client and path object for ``path`` (any store that Spark reads)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder; nothing happens where there is none."""
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Cuts made inside the block are removed at its end.  For work that ends with a write: nothing read from a cut
+    may be used afterwards.  Threads that ``run_all`` starts inside belong to the block."""
+    token = _CUTS.set([])
+    try:
+        yield
+    finally:
+        paths = _CUTS.get()
+        _CUTS.reset(token)
+        for path in paths:
+            delete(spark, path)

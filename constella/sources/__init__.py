@@ -5,9 +5,9 @@ from constella.sources.pages import (
     landed_movies,
     landed_prefix,
     page_plan,
-    page_stats,
     page_status,
     read_pages,
+    unseen,
     total_pages,
     write_pages,
 )
@@ -17,6 +17,6 @@ from constella.sources.tables import Warehouse
 
 __all__ = [
     "Warehouse", "empty_table", "literal_rows", "contiguous_mark", "landed_movies", "landed_prefix", "page_plan",
-    "page_stats", "page_status", "read_pages", "read_state", "total_pages", "write_pages",
+    "page_status", "read_pages", "read_state", "total_pages", "unseen", "write_pages",
     "write_state",
 ]

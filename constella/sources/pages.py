@@ -2,7 +2,8 @@
 
 The HTTP fetch is outside Spark; what lands is one JSON envelope
 ``{"data": {"movie_count": n, "movies": [...]}}`` per page, either as one
-file per page under ``<landing>/page=<n>/`` (page from the path) or as
+file per page under ``<landing>/page=<n>/`` or ``<landing>/run=<id>/page=<n>/``
+(page from the path; a run's page mark prunes folders) or as
 JSON-lines records that carry a ``page`` field.  Executors read the files
 directly (no rows pass through the driver).  Page planning, missing/failed/partial pages and the
 page high-water mark are DataFrame operations over the landed pages.
@@ -10,6 +11,8 @@ page high-water mark are DataFrame operations over the landed pages.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, LongType, StringType, StructField, StructType
@@ -36,29 +39,62 @@ def envelope_schema(with_page: bool = True) -> StructType:
     return StructType(fields)
 
 
-def read_pages(spark: SparkSession, landing: str, multiline: bool = False) -> DataFrame:
-    """One row per landed page: ``page, movie_count, n_movies, failed, movies``.
-    A truncated / malformed file gives ``failed = true`` instead of an error;
-    ratings may be numbers or text, and missing fields as NULL (declared
-    schema, nothing inferred)."""
+#: What tells one landed page from another: its file as it lies there, and its number in it.
+IDENTITY = ["path", "length", "modified", "page"]
+
+
+def read_pages(spark: SparkSession, landing: str, multiline: bool = False, after: int | None = None) -> DataFrame:
+    """One row per landed page: ``page, movie_count, n_movies, failed, raw, movies`` and its file's ``path, length,
+    modified``.  A truncated / malformed file gives ``failed = true`` (its text in ``raw``) instead of an error;
+    ratings may be numbers or text, and missing fields as NULL (declared schema, nothing inferred).
+
+    ``after`` keeps pages above a page mark, and records without a page number.  In a landing folder partitioned by
+    page (``page=<n>/``, below ``run=<id>/`` or not) it's a partition filter: older pages' files aren't opened."""
     df = (spark.read.schema(envelope_schema())
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT)
               .option("multiLine", multiline)
               .json(landing))
+    if after is not None:
+        df = df.filter((F.col("page") > after) | F.col("page").isNull())
     return pages_of(df)
 
 
 def pages_of(df: DataFrame) -> DataFrame:
+    """Pages of envelopes read from files, in a batch or a stream."""
+    return envelopes(df, {"path": F.col("_metadata.file_path"), "length": F.col("_metadata.file_size"),
+                          "modified": F.col("_metadata.file_modification_time")})
+
+
+def envelopes(df: DataFrame, file: dict[str, Column]) -> DataFrame:
     return df.select(
         F.col("page"),
         F.col("data.movie_count").alias("movie_count"),
         F.coalesce(F.size("data.movies"), F.lit(0)).alias("n_movies"),
         F.col(CORRUPT).isNotNull().alias("failed"),
         F.transform("data.movies", lambda m: m.withField("rating", m["rating"].try_cast("double"))).alias("movies"),
+        F.col(CORRUPT).alias("raw"),
+        *[c.alias(name) for name, c in file.items()],
     )
 
 
+def parse_text(rows: DataFrame, text: Column) -> DataFrame:
+    """Pages of envelopes held as text (``rows`` has the columns of IDENTITY and ``raw``, kept as ``was``)."""
+    schema = envelope_schema()
+    parsed = rows.select("*", F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_env"))
+    named = parsed.select("path", "length", "modified", F.coalesce("_env.page", "page").alias("page"), "_env.data",
+                          F.col("raw").alias("was"),
+                          F.coalesce(F.col(f"_env.{CORRUPT}"), F.when(F.col("_env.data").isNull(), text)).alias(CORRUPT))
+    return envelopes(named, {c: F.col(c) for c in ("path", "length", "modified", "was")})
+
+
+def unseen(pages: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Pages that no committed batch has taken or recorded.  A file landed again (other length or time) is new."""
+    p, l = pages.alias("_p"), ledger.select(*IDENTITY).alias("_l")
+    same = reduce(lambda a, b: a & b, [F.col(f"_p.{c}").eqNullSafe(F.col(f"_l.{c}")) for c in IDENTITY])
+    return p.join(l, same, "left_anti").select("_p.*")
+
+
 def landed_movies(pages: DataFrame, keep_page: bool = False) -> DataFrame:
     """Movie rows of the landed pages (``explode`` of ``data.movies``)."""
     m = pages.select("page", F.explode("movies").alias("m"))
@@ -76,13 +112,6 @@ def page_plan(spark: SparkSession, last_page: int, max_page: int) -> DataFrame:
     return spark.range(last_page + 1, max(last_page, max_page) + 1).select(F.col("id").alias("page"))
 
 
-def page_stats(rows: DataFrame, page_col: str = "page", failed: Column | None = None) -> DataFrame:
-    """Per-page row counts of landed rows (the shape ``read_pages`` yields)."""
-    agg = [F.count(F.lit(1)).alias("n_movies")]
-    agg.append((F.max(failed) if failed is not None else F.lit(False)).alias("failed"))
-    return rows.groupBy(F.col(page_col).alias("page")).agg(*agg)
-
-
 def page_status(plan: DataFrame, pages: DataFrame, limit: int) -> DataFrame:
     """Every planned page with ``status`` in missing / failed / empty / landed
     and ``complete`` (a full page of ``limit`` rows).  A join on the page
@@ -124,19 +153,19 @@ def landed_prefix(status: DataFrame, last_page: int | Column) -> Column:
 
 
 def write_pages(rows: DataFrame, landing: str, page_col: str, movie_count: Column, limit: int,
-                one_dir_per_page: bool = False) -> None:
+                one_dir_per_page: bool = False, run: str | None = None) -> None:
     """Land rows as page envelopes (test and replay helper): JSON-lines
-    records ``{"data": ..., "page": n}``, or one ``page=<n>/`` folder per page.
-    ``rows`` must carry at most ``limit`` rows per page -- the page size
-    bounds every collected group."""
+    records ``{"data": ..., "page": n}``, or one ``page=<n>/`` folder per page,
+    below ``run=<run>/`` if one is given.  ``rows`` must carry at most
+    ``limit`` rows per page -- the page size bounds every collected group."""
     movies = [c for c in rows.columns if c != page_col]
     env = (rows.groupBy(F.col(page_col).alias("page"))
                .agg(F.collect_list(F.struct(*movies)).alias("movies"))
                .select(F.struct(movie_count.alias("movie_count"), F.col("movies")).alias("data"), "page"))
     writer = env.write.mode("overwrite")
-    if one_dir_per_page:
+    if one_dir_per_page or run is not None:
         writer = writer.partitionBy("page")
-    writer.json(landing)
+    writer.json(landing if run is None else f"{landing.rstrip('/')}/run={run}")
 
 
 def page_numbers(rows: DataFrame, rank_col: str, limit: int) -> Column:

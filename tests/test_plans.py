@@ -36,7 +36,7 @@ def test_fact_step_reduces_history_and_broadcasts_dims(spark, scratch):
     dims = {name: empty(spark, schema) for name, schema in [
         ("dim_movie", S.DIM_MOVIE), ("dim_date", S.DIM_DATE), ("dim_language", S.DIM_LANGUAGE),
         ("dim_runtime", S.DIM_RUNTIME), ("dim_rating", S.DIM_RATING), ("dim_released_year", S.DIM_RELEASED_YEAR)]}
-    out = fact_step(w, dims, hist, rows=200)
+    out = fact_step(w, dims, hist)
     p = plan(out)
     # fact history, dim_movie and dim_date are each cut to the window's keys
     assert p.count("LeftSemi") >= 3 and "BroadcastExchange" in p
