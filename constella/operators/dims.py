@@ -71,9 +71,9 @@ def new_date_members(window: DataFrame, ts: str, dim: DataFrame,
 
 
 def new_entity_members(window: DataFrame, natural_key: str, attrs: Sequence[str],
-                       dim: DataFrame, key: str) -> DataFrame:
+                       dim: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """Multi-attribute dimension (the movie): one row per natural key, then
     only keys absent from ``dim``, numbered after its max key.  The dimension
     grows with history; one bucketed by its natural key isn't shuffled."""
-    fresh = absent_by_key(one_row_per_key(window, natural_key, attrs), dim, natural_key)
+    fresh = absent_by_key(one_row_per_key(window, natural_key, attrs), dim, natural_key, buckets)
     return dense_keys(fresh, [natural_key], key, key_offset(dim, key)).select(*dim.columns)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from constella.operators.merge import absent_from, reduce_to_probe
+from constella.operators.merge import absent_from, beside, reduce_to_probe
 
 
 @dataclass(frozen=True)
@@ -34,7 +34,8 @@ def one_row_per_id(src: DataFrame, id_col: str, columns: Sequence[str]) -> DataF
                .select(id_col, *[F.col(f"_row.{c}").alias(c) for c in cols]))
 
 
-def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | None = None) -> DataFrame:
+def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | None = None,
+                buckets: int | None = None) -> DataFrame:
     """Chained left joins that add each lookup's surrogate key.  Only
     ``(natural_key, key)`` of each dimension is read; plain equality, so a NULL
     attribute gets a NULL key.  Join strategy is Spark's: small dimensions are
@@ -51,7 +52,7 @@ def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | No
         dim = lk.dim
         if lk.reduce and probe is not None:
             dim = reduce_to_probe(dim, probe.select(left.alias(lk.natural_key)), [lk.natural_key],
-                                  null_safe=False)
+                                  null_safe=False, buckets=buckets)
         d = dim.select(F.col(lk.natural_key).alias(nk), F.col(lk.key))
         out = (out.withColumn(value, left)
                   .join(d, F.col(value) == F.col(nk), "left")
@@ -60,17 +61,17 @@ def lookup_keys(src: DataFrame, lookups: Sequence[Lookup], probe: DataFrame | No
 
 
 def fact_rows(src: DataFrame, lookups: Sequence[Lookup], columns: Sequence[str],
-              probe: DataFrame | None = None) -> DataFrame:
+              probe: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     """Fact rows: source joined to every dimension, projected to ``columns``."""
-    return lookup_keys(src, lookups, probe).select(*columns)
+    return lookup_keys(src, lookups, probe, buckets).select(*columns)
 
 
 def new_fact_rows(rows: DataFrame, fact: DataFrame, id_col: str = "movie_id",
-                  probe: DataFrame | None = None) -> DataFrame:
+                  probe: DataFrame | None = None, buckets: int | None = None) -> DataFrame:
     """Insert-only: rows whose id the fact table does not hold yet.  With a
-    cheap ``probe`` of the candidate ids (e.g. the window) and a proven bound
-    on its rows, the fact history is first reduced to those ids by a
-    broadcast semi-join, so it is not shuffled as a whole."""
+    cheap ``probe`` of the candidate ids (e.g. the window) the fact history is
+    first reduced to those ids by a semi-join.  A history in ``buckets`` by id
+    isn't shuffled for either join, whatever its size."""
     if probe is not None:
-        fact = reduce_to_probe(fact, probe, [id_col], null_safe=False)
-    return absent_from(rows, fact, [id_col], null_safe=False).select(*fact.columns)
+        fact = reduce_to_probe(fact, probe, [id_col], null_safe=False, buckets=buckets)
+    return absent_from(beside(rows, id_col, buckets), fact, [id_col], null_safe=False).select(*fact.columns)

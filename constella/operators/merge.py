@@ -14,16 +14,22 @@ def _match(left: str, right: str, keys: Sequence[str], null_safe: bool):
     return reduce(lambda a, b: a & b, [eq(F.col(f"{left}.{k}"), F.col(f"{right}.{k}")) for k in keys])
 
 
+def beside(df: DataFrame, key: str, buckets: int | None) -> DataFrame:
+    """``df`` dealt out as a table bucketed by ``key`` lies.  Without it Spark shuffles the table instead where ``df``
+    is already partitioned by the key (after an aggregate) into more parts than there are buckets."""
+    return df if buckets is None else df.repartition(buckets, key)
+
+
 def reduce_to_probe(target: DataFrame, probe: DataFrame, keys: Sequence[str],
-                    null_safe: bool = True) -> DataFrame:
+                    null_safe: bool = True, buckets: int | None = None) -> DataFrame:
     """``target`` rows whose ``keys`` occur in ``probe`` -- a superset of what
     any anti-join of the probe's rows against ``target`` can match.  A plain
     semi-join on the anti-join's keys: where the probe's size allows it, Spark
     broadcasts it and the history is filtered map-side; otherwise both joins
-    share one exchange."""
+    share one exchange.  ``buckets``: those of a target bucketed by its key."""
     keys = list(keys)
     t = target.alias("_t")
-    p = probe.select(*keys).distinct().alias("_p")
+    p = beside(probe.select(*keys).distinct(), keys[0], buckets).alias("_p")
     return t.join(p, on=_match("_t", "_p", keys, null_safe), how="left_semi").select(
         *[F.col(f"_t.{c}") for c in target.columns])
 
@@ -45,12 +51,12 @@ def absent_from(src: DataFrame, target: DataFrame, keys: Sequence[str],
         *[F.col(f"_src.{c}") for c in src.columns])
 
 
-def absent_by_key(src: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def absent_by_key(src: DataFrame, target: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """As null-safe ``absent_from`` on one key, but joined by plain equality, which a target bucketed (or otherwise
     partitioned) by ``key`` meets without a shuffle; ``<=>`` would shuffle it.  Whether the target has a NULL key is
     a scalar subquery of its own, whose filter reaches the scan."""
     has_null = target.filter(F.col(key).isNull()).agg(F.count(F.lit(1)) > 0).scalar()
-    return (src.join(target.select(key), on=key, how="left_anti").select(*src.columns)
+    return (beside(src, key, buckets).join(target.select(key), on=key, how="left_anti").select(*src.columns)
                .filter(F.col(key).isNotNull() | ~has_null))
 
 

@@ -104,16 +104,16 @@ def date_step(w, d, grain="timestamp", ts=TS):
     return new_date_members(w, ts, d, grain)
 
 
-def movie_step(w, d):
-    return new_entity_members(w, "slug", S.MOVIE_ATTRIBUTES, d, "movie_key")
+def movie_step(w, d, buckets=None):
+    return new_entity_members(w, "slug", S.MOVIE_ATTRIBUTES, d, "movie_key", buckets)
 
 
 def genre_step(w, d):
     return new_members(exploded_values(w, "genres", "genre_name"), d, "genre_name", "genre_id", "int")
 
 
-def bridge_step(w, dim_genre, existing):
-    return bridge_rows(w, "movie_id", "genres", dim_genre, "genre_name", "genre_id", existing)
+def bridge_step(w, dim_genre, existing, buckets=None):
+    return bridge_rows(w, "movie_id", "genres", dim_genre, "genre_name", "genre_id", existing, buckets)
 
 
 def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) -> list[Lookup]:
@@ -127,10 +127,10 @@ def fact_lookups(dims: dict[str, DataFrame], date_source: Column | str = TS) ->
     ]
 
 
-def fact_step(w, dims, existing, order_first=("landing",)):
+def fact_step(w, dims, existing, order_first=("landing",), buckets=None):
     src = one_row_per_id(w, "movie_id", [*order_first, *FACT_SOURCE])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS, probe=w),
-                         existing, probe=w)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims), FACT_COLUMNS, probe=w, buckets=buckets),
+                         existing, probe=w, buckets=buckets)
 
 
 DIM_STEPS = {

@@ -30,6 +30,7 @@ from constella.plans.batches import (
     date_step,
     fact_lookups,
     fact_step,
+    movie_step,
     year_step,
 )
 from constella.plans.concurrent import run_all
@@ -152,6 +153,8 @@ def _run(wh: Warehouse, landed: DataFrame, n: int, prev, options: RunOptions, la
     steps["dim_released_year"] = (steps["dim_released_year"][0],
                                   lambda w, d: year_step(w, d, options.sentinel_years))
 
+    steps["dim_movie"] = (steps["dim_movie"][0], lambda w, d: movie_step(w, d, wh.buckets))
+
     def load(name: str):
         def go():
             _, step = steps[name]
@@ -159,7 +162,7 @@ def _run(wh: Warehouse, landed: DataFrame, n: int, prev, options: RunOptions, la
             if name == "dim_genre":
                 wh.write("genre_junction",
                          bridge_step(window, wh.read("dim_genre", upto=n),
-                                     wh.read("genre_junction", batches=history)), n)
+                                     wh.read("genre_junction", batches=history), wh.buckets), n)
         return go
 
     # independent tables: their jobs are submitted concurrently
@@ -168,7 +171,7 @@ def _run(wh: Warehouse, landed: DataFrame, n: int, prev, options: RunOptions, la
     dims = {name: wh.read(name, upto=n) for name in FACT_DIMS}
     if options.date_grain == "day":
         window = window.withColumn("_day", date_grain(TS, "day"))
-    wh.write("fact_movies", _fact(window, dims, wh.read("fact_movies", batches=history), options), n)
+    wh.write("fact_movies", _fact(window, dims, wh.read("fact_movies", batches=history), options, wh.buckets), n)
 
     # commit: the state row, written last; an empty window keeps the mark
     new_last = max((x for x in (upper if window_rows else None, last) if x is not None), default=None)
@@ -188,12 +191,12 @@ def _batch(wh: Warehouse, name: str, n: int) -> DataFrame:
     return wh.read(name, only=n, keep_batch=True)
 
 
-def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions) -> DataFrame:
+def _fact(window: DataFrame, dims, existing: DataFrame, options: RunOptions, buckets: int) -> DataFrame:
     if options.date_grain != "day":
-        return fact_step(window, dims, existing, order_first=(BATCH,))
+        return fact_step(window, dims, existing, order_first=(BATCH,), buckets=buckets)
     src = one_row_per_id(window, "movie_id", [BATCH, *FACT_SOURCE, "_day"])
-    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS, probe=window),
-                         existing, probe=window)
+    return new_fact_rows(fact_rows(src, fact_lookups(dims, "_day"), FACT_COLUMNS, probe=window, buckets=buckets),
+                         existing, probe=window, buckets=buckets)
 
 
 def committed(wh: Warehouse, name: str) -> DataFrame:
