@@ -53,11 +53,13 @@ def absent_from(src: DataFrame, target: DataFrame, keys: Sequence[str],
 
 def absent_by_key(src: DataFrame, target: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
     """As null-safe ``absent_from`` on one key, but joined by plain equality, which a target bucketed (or otherwise
-    partitioned) by ``key`` meets without a shuffle; ``<=>`` would shuffle it.  Whether the target has a NULL key is
-    a scalar subquery of its own, whose filter reaches the scan."""
+    partitioned) by ``key`` meets without a shuffle; ``<=>`` would shuffle it.  An outer join, since Spark moves an
+    anti-join below the dealing out of its left side.  Whether the target has a NULL key is a scalar subquery of its
+    own, whose filter reaches the scan."""
     has_null = target.filter(F.col(key).isNull()).agg(F.count(F.lit(1)) > 0).scalar()
-    return (beside(src, key, buckets).join(target.select(key), on=key, how="left_anti").select(*src.columns)
-               .filter(F.col(key).isNotNull() | ~has_null))
+    known = target.select(key, F.lit(True).alias("_known"))
+    return (beside(src, key, buckets).join(known, on=key, how="left")
+               .filter(F.col("_known").isNull() & (F.col(key).isNotNull() | ~has_null)).select(*src.columns))
 
 
 def insert_only(src: DataFrame, target: DataFrame, keys: Sequence[str],

@@ -23,7 +23,7 @@ def exchanges_over_scan(df, table):
     depth = lambda line: len(line) - len(line.lstrip(" :+-*0123456789()"))
     found = []
     for i, line in enumerate(lines):
-        if "FileScan" in line and table in line and "IsNull(movie_id)" not in line:     # not the few without an id
+        if "FileScan" in line and table in line and "PushedFilters: [IsNull(" not in line:   # not the few without a key
             at = depth(line)
             for above in reversed(lines[:i]):
                 if depth(above) < at:
@@ -32,7 +32,7 @@ def exchanges_over_scan(df, table):
                         break
                     if "Exchange" in above:
                         found.append(above.strip())
-    return found, sum("FileScan" in line and table in line for line in lines)
+    return found, sum("FileScan" in line and table in line and "PushedFilters: [IsNull(" not in line for line in lines)
 
 
 def test_history_is_not_shuffled(spark, scratch):
