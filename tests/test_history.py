@@ -1,6 +1,7 @@
 """What a run reads of the history: no shuffle of it, only batches that can matter, few directories."""
 
 import os
+import re
 
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ def rows(spark, ids, day=None, slug=None):
 def exchanges_over_scan(df, table):
     """Exchanges between the scan of ``table`` and the joins above it."""
     lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
-    depth = lambda line: len(line) - len(line.lstrip(" :+-*0123456789()"))
+    depth = lambda line: len(re.match(r"(?:   |:  )*(?:[+:]- )?", line).group())
     found = []
     for i, line in enumerate(lines):
         if "FileScan" in line and table in line and "PushedFilters: [IsNull(" not in line:   # not the few without a key
