@@ -16,6 +16,7 @@ piece); rows that share both are interchangeable.  Repeated rows are packed as o
 
 from __future__ import annotations
 
+import base64
 from bisect import bisect_left, insort
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -168,16 +169,29 @@ def pack(items: DataFrame, sizes: Sequence[int], key: str = "doc_id", length: st
         (F.col("offset") + nth % F.col("each") * F.col("length")).cast("bigint").alias("position"))
 
 
-def token_lengths(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, length): tokens of every whole text and one end token."""
-    from constella.llm.token_files import encoder
+_encodings: dict = {}
 
+
+def _encoding(ranks: str, pattern: str):
+    """The tiktoken encoding of a vocabulary, loaded once a worker."""
+    if (ranks, pattern) not in _encodings:
+        import tiktoken
+
+        with open(ranks, "rb") as f:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        _encodings[ranks, pattern] = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return _encodings[ranks, pattern]
+
+
+def token_lengths(docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, length): tokens of every whole text (null: empty) by the vocabulary file ``ranks``, and one end token."""
     rows = docs.select(F.col(key).cast("bigint").alias(key), F.col(text).cast("string").alias("_text"))
 
     def count(batches):
-        enc = encoder(tokenizer)
+        encode = _encoding(ranks, pattern).encode_ordinary
         for batch in batches:
-            n = enc.count_all(batch.column("_text")) + 1
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(n)], names=[key, "length"])
+            texts = batch.column("_text")
+            n = [len(encode(t.as_py() or "")) + 1 for t in texts]
+            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(n, pa.int64())], names=[key, "length"])
 
     return rows.mapInArrow(count, f"`{key}` bigint, length bigint")

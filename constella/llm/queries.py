@@ -103,14 +103,16 @@ def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's tokens packed into sequences of four permitted lengths."""
+    """Every document's tokens packed into sequences of five permitted lengths."""
     return packed(table(spark, sf_dir, "documents"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
     from constella.llm.packing import pack, token_lengths
 
-    lengths = cut(token_lengths(docs, vocabulary("byte_bpe_50k.json")), name="token-lengths")
+    from public_tokenizers import PATTERN
+
+    lengths = cut(token_lengths(docs, vocabulary("byte_bpe_50k.tiktoken"), PATTERN), name="token-lengths")
     return pack(lengths, SEQUENCE_LENGTHS)
 
 

@@ -64,15 +64,15 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle
     return rows.mapInArrow(hashed, f"`{key}` bigint, fp bigint")
 
 
-def fingerprinted(df: DataFrame, text: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``df`` with ``_fp``, the fingerprint of each row; for rows that no id tells apart."""
+def fingerprinted(df: DataFrame, text: str = "text", shingle: int = 3, seed: int = 42, name: str = "_fp") -> DataFrame:
+    """``df`` with ``name``, the fingerprint of each row; for rows that no id tells apart."""
     def hashed(batches):
         for batch in batches:
             fps = np.array([simhash(t, shingle, seed) for t in batch.column(text).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))],
-                                             names=[*batch.schema.names, "_fp"])
+                                             names=[*batch.schema.names, name])
 
-    return df.mapInArrow(hashed, T.StructType([*df.schema.fields, T.StructField("_fp", T.LongType())]))
+    return df.mapInArrow(hashed, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
 
 
 class BKTree:
