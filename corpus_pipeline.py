@@ -24,18 +24,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select(*docs.columns)
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of rows linked by fingerprints two bits apart or fewer: that with the smallest id,
-    and of those the smallest by text and the other columns.  Ids neither link rows nor tell them apart, so rows that
+    and of those the smallest by text and the other columns (maps have no order and don't count).  Ids neither link rows nor tell them apart, so rows that
     share an id but not a text are judged by their texts, and rows without an id take part (an id goes before none)."""
     importable(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = F.struct(F.col("doc_id").isNull().alias("_unnamed"), "doc_id", "text", *others)
+    fp = free(docs, "_fp")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    others = [f.name for f in docs.schema.fields if f.name not in ("doc_id", "text") and "map<" not in f.dataType.simpleString()]
+    first = lambda at: F.struct(F.col(f"{at}doc_id").isNull().alias("unnamed"), *[
+        F.col(f"{at}`{c}`").alias(f"c{i}") for i, c in enumerate(["doc_id", "text", *others])])
     # partial aggregates: a large group of copies is a row a task before each shuffle
-    classes = cut(fingerprinted(docs, shingle=3, seed=42).groupBy(F.col("_fp").alias("fp")).agg(
-        F.min(first).alias("_row")), name="classes")
-    kept = components(classes, radius=2).groupBy("root").agg(F.min("_row").alias("_row"))
-    return kept.select("_row.*").select(*docs.columns)
+    classes = cut(fingerprinted(docs, shingle=3, seed=42, name=fp).groupBy(F.col(fp).alias("fp")).agg(
+        F.min_by(row, first("")).alias("row")), name="classes")
+    kept = components(classes, radius=2).groupBy("root").agg(F.min_by("row", first("row.")).alias("row"))
+    return kept.select("row.*").select(*docs.columns)
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
