@@ -1,7 +1,7 @@
 """DataFrame operators of the incremental star-schema load."""
 
 from constella.operators.bridge import bridge_rows
-from constella.operators.clean import clean, rows_missing_date
+from constella.operators.clean import clean
 from constella.operators.dims import (
     distinct_values,
     exploded_values,
@@ -20,6 +20,6 @@ __all__ = [
     "Lookup", "absent_from", "advance_mark", "bridge_rows", "clean", "dense_keys",
     "distinct_values", "exploded_values", "fact_rows", "incremental_window", "incremental_window_sql", "insert_only",
     "key_offset", "lookup_keys", "max_of", "new_date_members", "new_entity_members",
-    "new_fact_rows", "new_members", "one_row_per_id", "one_row_per_key", "rows_missing_date",
+    "new_fact_rows", "new_members", "one_row_per_id", "one_row_per_key",
     "with_sentinels",
 ]

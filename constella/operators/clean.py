@@ -36,12 +36,3 @@ def clean(raw: DataFrame, default_genre: str = DEFAULT_GENRE,
         F.coalesce(F.col("date_uploaded_unix"), first_element("torrents", "date_uploaded_unix")),
     ).otherwise(F.col("date_uploaded_unix"))
     return raw.select(*[exprs[c].alias(c) for c in SILVER_COLUMNS], *keep)
-
-
-def rows_missing_date(raw: DataFrame) -> DataFrame:
-    """Rows whose text date is missing, with the first torrent's fallback values."""
-    return raw.filter(F.col("date_uploaded").isNull()).select(
-        F.col("id"),
-        first_element("torrents", "date_uploaded").alias("date_uploaded"),
-        first_element("torrents", "date_uploaded_unix").alias("date_uploaded_unix"),
-    )

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType, TimestampNTZType
 
 from constella import schemas as S
-from constella.functions import date_grain, default_array, parse_timestamp
+from constella.functions import default_array, first_element, parse_timestamp
 from constella.operators import (
+    Lookup,
     absent_from,
     advance_mark,
+    bridge_rows,
     clean,
     dense_keys,
     distinct_values,
@@ -26,9 +28,9 @@ from constella.operators import (
     incremental_window,
     incremental_window_sql,
     insert_only,
+    lookup_keys,
     new_date_members,
     new_members,
-    rows_missing_date,
 )
 from constella.plans.batches import TS, batch_windows, empty, grow, star_states
 from constella.plans.sqlgen import (
@@ -105,7 +107,9 @@ def q_window_batches(spark, sf_dir):
 @query("q_isnull", RAW + """
 SELECT id, t0_date AS date_uploaded, t0_unix AS date_uploaded_unix FROM raw WHERE date_uploaded IS NULL""")
 def q_isnull(spark, sf_dir):
-    return rows_missing_date(raw_movies(spark, sf_dir))
+    undated = raw_movies(spark, sf_dir).filter(F.col("date_uploaded").isNull())
+    return undated.select("id", first_element("torrents").alias("first")).select(
+        "id", "first.date_uploaded", "first.date_uploaded_unix")
 
 
 # --- C1 X1 X2: cleaning (projection form) -----------------------------------------
@@ -120,21 +124,16 @@ def q_coalesce_nested(spark, sf_dir):
     return s.select(*SILVER_OUT, F.to_json("genres").alias("genres_json"))
 
 
-# --- J1: the literal self-join form of the cleaning -----------------------------
-@query("q_left_join", RAW + """
-SELECT r.id AS movie_id, coalesce(r.date_uploaded, u.date_uploaded) AS date_text,
-       coalesce(r.date_uploaded_unix, u.date_uploaded_unix) AS date_uploaded_unix
-FROM raw r LEFT JOIN (SELECT id, t0_date AS date_uploaded, t0_unix AS date_uploaded_unix
-                      FROM raw WHERE date_uploaded IS NULL) u ON r.id = u.id""")
+# --- J1: left join, as a lookup that keeps the rows it finds nothing for ---------
+@query("q_left_join", """
+SELECT o.o_orderkey, c.c_mktsegment AS segment FROM orders o
+LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) c ON c.c_custkey = o.o_custkey""")
 def q_left_join(spark, sf_dir):
-    raw = raw_movies(spark, sf_dir)
-    upd = rows_missing_date(raw)
-    j = raw.alias("main").join(upd.alias("upd"), on="id", how="left")
-    return j.select(
-        F.col("id").alias("movie_id"),
-        F.coalesce("main.date_uploaded", "upd.date_uploaded").alias("date_text"),
-        F.coalesce("main.date_uploaded_unix", "upd.date_uploaded_unix").alias("date_uploaded_unix"),
-    )
+    """Orders and the market segment of customers with a high balance."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    rich = table(spark, sf_dir, "customer").filter(F.col("c_acctbal") > 5000)
+    members = rich.select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    return lookup_keys(orders, [Lookup(members, "o_custkey", "c_custkey", "segment")]).select("o_orderkey", "segment")
 
 
 # --- X2 / X3: default array and explode --------------------------------------------
@@ -165,7 +164,7 @@ def q_distinct_multi(spark, sf_dir):
     return _windows(spark, sf_dir)[0].select("slug", "url", "title").distinct()
 
 
-# --- J2 J3 J4 H4: anti joins and the inner genre join ----------------------------
+# --- J2 J4: the inner genre join and an anti join on an expression ----------------------------
 def _genre_dim_1(spark, sf_dir):
     ws = _windows(spark, sf_dir)
     d1 = grow(ws[:1], empty(spark, S.DIM_GENRE),
@@ -178,25 +177,51 @@ G1 = with_(sql_silver_ctes(CUTS_2), windows_ctes(2), genre_ctes(1))
 
 
 @query("q_inner_join", G1 + """
-SELECT p.movie_id, g.genre_id FROM (SELECT movie_id, unnest(genres) AS genre_name FROM w1) p
+SELECT DISTINCT p.movie_id, g.genre_id FROM (SELECT movie_id, unnest(genres) AS genre_name FROM w1) p
 JOIN dg_1 g ON g.genre_name = p.genre_name""")
 def q_inner_join(spark, sf_dir):
     ws, d1 = _genre_dim_1(spark, sf_dir)
-    pairs = ws[0].select("movie_id", F.explode("genres").alias("genre_name"))
-    return pairs.join(d1, on=pairs["genre_name"] == d1["genre_name"], how="inner").select("movie_id", "genre_id")
+    return bridge_rows(ws[0], "movie_id", "genres", d1, "genre_name", "genre_id")
 
 
-@query("q_anti_expr", W2 + """
-SELECT DISTINCT CAST(CAST(s.date_uploaded AS DATE) AS TIMESTAMP) AS day FROM w2 s
-WHERE NOT EXISTS (SELECT 1 FROM w1 e WHERE CAST(e.date_uploaded AS DATE) = CAST(s.date_uploaded AS DATE))""")
+@query("q_anti_expr", """
+SELECT c_custkey, c_name FROM customer c
+WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderdate > TIMESTAMP '2000-01-01')""")
 def q_anti_expr(spark, sf_dir):
-    """Left anti join on an expression condition: upload days of batch 2 that
-    batch 1 does not have."""
-    w1, w2 = _windows(spark, sf_dir)
-    days = lambda w: w.select(date_grain(TS, "day").alias("day")).distinct()
-    new, existing = days(w2).alias("new"), days(w1).alias("existing")
-    return (new.join(existing, on=F.col("new.day") == F.col("existing.day"), how="leftanti")
-               .select(F.col("new.day")))
+    """Left anti join on an expression: customers without an order in the newest window."""
+    newest = incremental_window(table(spark, sf_dir, "orders"), "o_orderdate", "2000-01-01")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return absent_from(customers, newest.select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+
+
+# --- J3 H4: anti joins that many rows survive, by column name and null-safe -------
+_DAYS = "(SELECT DISTINCT {0} AS day FROM {1})"
+_DAY = "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END"
+_HALVES = ("(SELECT * FROM orders WHERE o_orderkey % 3 <> 0)", "(SELECT * FROM orders WHERE o_orderkey % 3 = 0)")
+
+
+def _order_days(spark, sf_dir):
+    """Order days of two thirds of the orders and of the others; NULL for orders in status P."""
+    o = table(spark, sf_dir, "orders")
+    day = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date"))
+    halves = [o.filter(F.col("o_orderkey") % 3 != 0), o.filter(F.col("o_orderkey") % 3 == 0)]
+    return [h.select(day.alias("day")).distinct() for h in halves]
+
+
+@query("q_anti_days", f"""
+SELECT s.day FROM {_DAYS.format(_DAY, _HALVES[0])} s
+WHERE NOT EXISTS (SELECT 1 FROM {_DAYS.format(_DAY, _HALVES[1])} e WHERE e.day = s.day)""")
+def q_anti_days(spark, sf_dir):
+    many, others = _order_days(spark, sf_dir)
+    return absent_from(many, others, ["day"], null_safe=False)
+
+
+@query("q_anti_days_nullsafe", f"""
+SELECT s.day FROM {_DAYS.format(_DAY, _HALVES[0])} s
+WHERE NOT EXISTS (SELECT 1 FROM {_DAYS.format(_DAY, _HALVES[1])} e WHERE e.day IS NOT DISTINCT FROM s.day)""")
+def q_anti_days_nullsafe(spark, sf_dir):
+    many, others = _order_days(spark, sf_dir)
+    return absent_from(many, others, ["day"])
 
 
 @query("q_anti_using", W2 + """
@@ -348,14 +373,13 @@ def q_distinct_multi_both(spark, sf_dir):
 
 
 @query("q_inner_join_both", STAR2 + f"""
-SELECT p.movie_id, g.genre_id FROM (SELECT movie_id, unnest(genres) AS genre_name FROM {_BOTH}) p
+SELECT DISTINCT p.movie_id, g.genre_id FROM (SELECT movie_id, unnest(genres) AS genre_name FROM {_BOTH}) p
 JOIN dg_2 g ON g.genre_name = p.genre_name""")
 def q_inner_join_both(spark, sf_dir):
     s = silver(spark, sf_dir)
     w1, w2 = batch_windows(s, 2)
     dim = star_states(s, 2, ["dim_genre"])["dim_genre"][2]
-    pairs = w1.unionByName(w2).select("movie_id", F.explode("genres").alias("genre_name"))
-    return pairs.join(dim, on=pairs["genre_name"] == dim["genre_name"], how="inner").select("movie_id", "genre_id")
+    return bridge_rows(w1.unionByName(w2), "movie_id", "genres", dim, "genre_name", "genre_id")
 
 
 @query("q_union_both", W2 + f"""

@@ -30,7 +30,7 @@ from constella.sources.tables import Warehouse
 from constella.streaming.landed import run_stream
 
 API_PAGE_SIZE = 50     # fixed value: rows per landed page
-RUN_PAGE_SIZE = 250    # page size of the queries that land a folder a page
+RUN_PAGE_SIZE = 1000    # page size of the queries that land a folder a page
 TRUNCATED = '{"data": {"movie_count": 9, "movies": [{"id": 1, "title": "cut'      # a page whose transfer broke off
 EMPTY_PAGE = '{"data": {"movie_count": 9, "movies": []}}'
 PLAN_PAGE_SIZE = 64    # page size of the planning queries (leaves a partly filled last page)
