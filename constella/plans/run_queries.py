@@ -31,6 +31,7 @@ from constella.streaming.landed import run_stream
 
 API_PAGE_SIZE = 50     # fixed value: rows per landed page
 RUN_PAGE_SIZE = 1000    # page size of the queries that land a folder a page
+DAY_PAGE_SIZE = 250     # of the five days, so that the first one has a page at the smallest scale
 TRUNCATED = '{"data": {"movie_count": 9, "movies": [{"id": 1, "title": "cut'      # a page whose transfer broke off
 EMPTY_PAGE = '{"data": {"movie_count": 9, "movies": []}}'
 PLAN_PAGE_SIZE = 64    # page size of the planning queries (leaves a partly filled last page)
@@ -107,16 +108,16 @@ def q_stream(spark, sf_dir):
 
 
 # --- batches by page: what each run takes, in pages ------------------------------------
-def _windows_by_page(*ranges: str) -> str:
+def _windows_by_page(*ranges: str, size: int) -> str:
     """``w1 ..`` as the runs see them: the dated rows of the pages that each batch takes."""
-    ranked = (f"ranked AS (SELECT *, (row_number() OVER (ORDER BY movie_id) - 1) // {RUN_PAGE_SIZE} + 1 AS page FROM silver),\n"
+    ranked = (f"ranked AS (SELECT *, (row_number() OVER (ORDER BY movie_id) - 1) // {size} + 1 AS page FROM silver),\n"
               "top AS (SELECT max(page) AS m FROM ranked)")
     return ",\n".join([ranked, *[f"w{k} AS (SELECT r.* EXCLUDE (landing), {k} AS landing FROM ranked r, top "
                                  f"WHERE ({cond}) AND date_uploaded IS NOT NULL)" for k, cond in enumerate(ranges, start=1)]])
 
 
 # --- R1 S3: a stream that loses its checkpoint, then the daily run: every page once ----
-@query("q_stream_split", with_(sql_silver_ctes(()), _windows_by_page("page <= m // 2", "page > m // 2"), *star_ctes(2)) +
+@query("q_stream_split", with_(sql_silver_ctes(()), _windows_by_page("page <= m // 2", "page > m // 2", size=RUN_PAGE_SIZE), *star_ctes(2)) +
        RESOLVED.format(n=2))
 def q_stream_split(spark, sf_dir):
     """Streamed over half of the pages; the checkpoint is lost; streamed again over all of them; then the daily run
@@ -134,12 +135,12 @@ def q_stream_split(spark, sf_dir):
 
 # --- C10 S1-S4 H10 H11: five days of a daily run ------------------------------------------
 @query("q_run_landed_days", with_(sql_silver_ctes(()), _windows_by_page(
-    "page < m // 6 + 1", "page BETWEEN m // 6 + 1 AND 2 * m // 3", "page > 2 * m // 3"), *star_ctes(3)) + RESOLVED.format(n=3))
+    "page < m // 6 + 1", "page BETWEEN m // 6 + 1 AND 2 * m // 3", "page > 2 * m // 3", size=DAY_PAGE_SIZE), *star_ctes(3)) + RESOLVED.format(n=3))
 def q_run_landed_days(spark, sf_dir):
     """A page that lands a day late, one that lands partly filled and then whole, one that can't be read until it is
     landed again, pages beyond gaps, dates out of order, and a day without news: every page's rows once."""
     landing = shared_dir(spark, "landing")
-    rows, _ = paged(spark, sf_dir, RUN_PAGE_SIZE)
+    rows, _ = paged(spark, sf_dir, DAY_PAGE_SIZE)
     rows = materialize(rows, name="paged")
     total, top = rows.agg(F.count(F.lit(1)), F.max("page")).first()
     top = top or 0
@@ -147,18 +148,18 @@ def q_run_landed_days(spark, sf_dir):
     page, bad = F.col("page"), b + 1
     partly = (page < a) | ((page == a) & (F.col("id") % 3 == 0))
     days = [
-        ((page <= a) & (page != late) & partly, a * RUN_PAGE_SIZE),
-        (page.isin(late, a) | (page > a) & (page <= b), b * RUN_PAGE_SIZE),
+        ((page <= a) & (page != late) & partly, a * DAY_PAGE_SIZE),
+        (page.isin(late, a) | (page > a) & (page <= b), b * DAY_PAGE_SIZE),
         (page > bad, total),
         (page == bad, total),
     ]
     wh = Warehouse(spark, shared_dir(spark, "warehouse")).setup()
     for day, (taken, movie_count) in enumerate(days, start=1):
-        write_pages(rows.filter(taken), landing, "page", F.lit(movie_count).cast("long"), RUN_PAGE_SIZE, run=str(day))
+        write_pages(rows.filter(taken), landing, "page", F.lit(movie_count).cast("long"), DAY_PAGE_SIZE, run=str(day))
         if day == 3:
             spark.range(1).select(F.lit(TRUNCATED)).write.text(f"{landing}/run={day}/page={bad}")
-        run_landed(wh, landing, limit=RUN_PAGE_SIZE)
-    run_landed(wh, landing, limit=RUN_PAGE_SIZE)
+        run_landed(wh, landing, limit=DAY_PAGE_SIZE)
+    run_landed(wh, landing, limit=DAY_PAGE_SIZE)
     return _resolved_committed(wh)
 
 
