@@ -12,7 +12,7 @@ from constella.session import materialize as cut
 from constella.session import shared_dir
 
 __all__ = ["cut", "shared_dir", "table", "importable", "id_crc", "ordered_shards", "connected_components",
-           "running"]
+           "running", "free"]
 
 #: A histogram of keys never has more rows than this, whatever the input (a proven broadcast bound).
 MAX_BLOCKS = 65_536
@@ -34,6 +34,13 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
+def free(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def id_crc(col: str | Column) -> Column:
     """crc32 of the id as decimal text; a null id counts as the empty text."""
     col = F.col(col) if isinstance(col, str) else col

@@ -5,8 +5,9 @@ an entity (kind, canonical form).  Mentions that differ in case, spacing or punc
 they get the same surrogate (coreference), written in each mention's own format: digits stand where digits stood,
 capitals where capitals were, separators stay.  A surrogate is drawn from a keyed digest of the entity:
 
-* phone numbers keep their country code, cards their first digit and (in)validity of the check digit, addresses in
-  private networks their network, e-mail addresses their top-level domain, hexadecimal secrets stay hexadecimal;
+* phone numbers keep their country code or their leading 0, cards their first digit and (in)validity of the check digit,
+  IBANs their country and get the check digits of their new number, addresses in private networks their network, e-mail
+  addresses their top-level domain, hexadecimal secrets stay hexadecimal;
 * names after a title keep their script (Latin, Cyrillic, Greek); given names end by the title's gender, and so do
   Cyrillic family names; given and family name are entities of their own, so "Mr Smith" follows "Mr John Smith".
 
@@ -16,8 +17,11 @@ with the next attempt number until no clash is left.  Those few attempt numbers
 
 What isn't detected is listed in the README.
 
+The pattern runs over each text once: its pieces, mentions at the odd places, are written to the shared folder and read
+again for the entities and for the new text.
+
 Nulls and ties: a null text stays null with zero entities; repeated rows are treated alike; other columns pass
-through, one that already has an output's name is replaced.
+through, one named ``n_entities`` is replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from constella.llm.common import cut
+from constella.llm.common import cut, free
 
 # Titles by gender, and the letters from which names are built
 MALE = ["Mr", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Г-н", "Господин", "господин", "Κύριος", "κύριος"]
@@ -44,6 +48,14 @@ IBANS = {15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE
          22: "BH BG CR GE DE IE ME RS GB VA", 23: "GI IQ IL TL AE", 24: "AD CZ MD PK RO SA SK ES SE TN VG", 25: "LY PT ST",
          26: "IS TR", 27: "FR GR IT MR MC SM", 28: "AL AZ BY CY DO SV GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU",
          31: "MT SC", 32: "LC"}
+#: Country calling codes: these, and three digits for all others
+CODES = ("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+         "81 82 84 86 90 91 92 93 94 95 98")
+#: Private networks, and how many values of the second octet they span
+_PRIVATE = {r"^(10)\.": None, r"^(127)\.": None, r"^(192)\.168\.": (168, 1), r"^(169)\.254\.": (254, 1),
+            r"^(172)\.(?:1[6-9]|2\d|3[01])\.": (16, 16), r"^(100)\.(?:6[4-9]|[7-9]\d|1[01]\d|12[0-7])\.": (64, 64)}
+#: Stands around mentions while a text is cut into pieces; a text that holds it is cut by two passes instead
+_MARK = "\x01"
 _KEYWORD = r"(?i:\b(?:token|api[_-]?key|secret(?:[_-]?key)?|password|passwd))"
 _GAP = r"[^\p{L}\p{N}_\n]+"
 _SECRET = _KEYWORD + _GAP
@@ -120,7 +132,10 @@ def _canonical(part: Column) -> Column:
     kind, value = part["kind"], part["value"]
     # İ is the one letter that is longer in lower case
     return (F.when(kind == "secret", F.lower(F.translate(value, "İ", "i"))).when(kind == "email", F.lower(value))
-            .when(kind.isin("phone", "card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
+            # a country code counts whether it is written +1 or 1
+            .when(kind == "phone", F.concat(F.when(value.rlike(r"^(\+|1[ .-])"), "+").otherwise(""), F.regexp_replace(
+                value, "[^0-9]", "")))
+            .when(kind.isin("card", "ssn"), F.regexp_replace(value, "[^0-9]", ""))
             .when(kind == "iban", F.regexp_replace(value, " ", "")).otherwise(F.translate(value, "’", "'")))
 
 
@@ -153,12 +168,20 @@ def _luhn(digits: Column, n: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), weight)
 
 
+def _mod97(text: Column) -> Column:
+    """Remainder by 97 of a text of digits and capitals, in which A counts as 10 and Z as 35."""
+    return F.aggregate(F.split(text, ""), F.lit(0), lambda r, c: F.when(
+        c.rlike("[0-9]"), (r * 10 + c.cast("int")) % 97).otherwise((r * 100 + F.ascii(c) - 55) % 97).cast("int"))
+
+
 def _drawn(e: Column) -> Column:
     """The canonical surrogate of an entity (kind, canonical, attempt, digest)."""
     kind, canonical, attempt, digest = (e[c] for c in ("kind", "canonical", "attempt", "digest"))
     digit = lambda i: (_byte(digest, i) % 10).cast("string")
     letter = lambda i, letters: _pick(letters, _byte(digest, i))
-    keep = F.greatest(F.length(canonical) - 10, F.lit(0))
+    # the country code, or a leading 0, stays; what follows it is neither 0 nor 1
+    code = F.regexp_extract(canonical, rf"^(\+(?:{CODES.replace(' ', '|')}|\d{{3}})|0?)", 1)
+    keep = F.length(code)
     phone = _characters(canonical, lambda c, i: F.when(i < keep, c).when(
         i == keep, (_byte(digest, i) % 8 + 2).cast("string")).otherwise(digit(i)))
     raw = _characters(canonical, lambda c, i: F.when(i == 0, c).otherwise(digit(i)))
@@ -171,9 +194,12 @@ def _drawn(e: Column) -> Column:
     octet = lambda i: (_byte(digest, F.lit(i)) % 254 + 1).cast("string")
     first = _pick([str(x) for x in range(1, 224) if x not in (10, 100, 127, 169, 172, 192, 198, 203)],
                   _byte(digest, F.lit(0)) * 256 + _byte(digest, F.lit(9)))
-    address = F.concat_ws(".", *[
-        F.when(canonical.rlike(r"^(10|127|192\.168)\."), F.regexp_extract(canonical, r"^(\d+)", 1)).otherwise(first),
-        F.when(canonical.rlike(r"^192\.168\."), "168").otherwise(octet(1)), octet(2), octet(3)])
+    net, second = first, octet(1)
+    for network, span in _PRIVATE.items():
+        net = F.when(canonical.rlike(network), F.regexp_extract(canonical, network, 1)).otherwise(net)
+        if span:
+            second = F.when(canonical.rlike(network), (_byte(digest, F.lit(1)) % span[1] + span[0]).cast("string")).otherwise(second)
+    address = F.concat_ws(".", net, second, octet(2), octet(3))
     top = F.regexp_extract(canonical, r"\.\p{L}+$", 0)
     rest = F.substr(canonical, F.lit(1), F.length(canonical) - F.length(top))
     email = F.concat(_characters(rest, lambda c, i: F.when(c.rlike(r"\p{N}"), digit(i)).when(
@@ -184,8 +210,10 @@ def _drawn(e: Column) -> Column:
     # short ones have few others of their length: they grow in the end
     secret = F.when(attempt < 8, secret).otherwise(F.concat(secret, F.array_join(F.transform(
         F.sequence(F.lit(0), attempt), lambda i: letter(i + 64, "abcdefghijklmnopqrstuvwxyz")), "")))
-    iban = _characters(canonical, lambda c, i: F.when(i < 2, c).when(c.rlike("[0-9]"), digit(i)).otherwise(
+    account = _characters(F.substr(canonical, F.lit(5)), lambda c, i: F.when(c.rlike("[0-9]"), digit(i)).otherwise(
         letter(i, "ABCDEFGHIJKLMNOPQRSTUVWXYZ")))
+    country = F.substr(canonical, F.lit(1), F.lit(2))
+    iban = F.concat(country, F.lpad((98 - _mod97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0"), account)
     drawn = (F.when(kind == "phone", phone).when(kind == "card", card).when(kind == "ssn", ssn)
              .when(kind == "address", address).when(kind == "email", email).when(kind == "secret", secret)
              .when(kind == "iban", iban))
@@ -223,14 +251,22 @@ def _with_digest(entity: Column, attempt: Column, key: str) -> Column:
                     _digest(entity["kind"], entity["canonical"], attempt, key).alias("digest"))
 
 
-def mentions(text: Column) -> Column:
-    """Every mention in a text, in order."""
-    return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+def pieces(text: Column) -> Column:
+    """A text cut before and after every mention: mentions at the odd places (from 0), what lies between at the even."""
+    marked = F.split(F.regexp_replace(text, PATTERN, f"{_MARK}$0{_MARK}"), _MARK, -1)
+    between, found = F.split(text, PATTERN, -1), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
+    by_two = F.flatten(F.zip_with(between, found, lambda a, m: F.when(m.isNull(), F.array(a)).otherwise(F.array(a, m))))
+    return F.when(text.contains(_MARK), by_two).otherwise(marked)
+
+
+def mentions(cut_up: Column) -> Column:
+    """The mentions among ``pieces``, in order."""
+    return F.filter(cut_up, lambda _, i: i % 2 == 1)
 
 
-def entities(df: DataFrame, text: str = "text") -> DataFrame:
-    """(kind, canonical): the distinct entities of a table."""
-    parts = df.select(F.explode(mentions(F.col(text).cast("string"))).alias("m")).select(F.explode(_parts(F.col("m"))).alias("p"))
+def entities(found: DataFrame, mentioned: str) -> DataFrame:
+    """(kind, canonical): the distinct entities of a column of mentions."""
+    parts = found.select(F.explode(mentioned).alias("m")).select(F.explode(_parts(F.col("m"))).alias("p"))
     return parts.filter("p.kind <> ''").select(F.col("p.kind").alias("kind"), _canonical(F.col("p")).alias("canonical")).distinct()
 
 
@@ -257,22 +293,26 @@ def assign(found: DataFrame, key: str, rounds: int = 64) -> DataFrame:
 
 def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``df`` with every mention in ``text`` replaced, and ``n_entities`` (mentions found)."""
-    settled = assign(entities(df, text), key)
-    more = settled.filter("attempt > 0").select(F.concat_ws("|", "kind", "canonical").alias("_e"), "attempt")
-    df = df.drop("n_entities").withColumn("_m", mentions(F.col(text).cast("string")))
+    df = df.drop("n_entities")
+    order = [f"`{c}`" for c in df.columns]
+    at, again, whole, said, n = (free(df, name) for name in ("_pieces", "_again", "_text", "_entity", "_n"))
+    df = cut(df.withColumn(text, pieces(F.col(text).cast("string"))).withColumnRenamed(text, at), name="pieces")
+    found = mentions(F.col(at))
+    settled = assign(entities(df.select(found.alias("m")).filter("size(m) > 0"), "m"), key)
+    more = settled.filter("attempt > 0").select(F.concat_ws("|", "kind", "canonical").alias(said), F.col("attempt").alias(n))
     if more.isEmpty():
-        df = df.withColumn("_again", F.lit(None).cast("map<string,int>"))
+        df = df.withColumn(again, F.lit(None).cast("map<string,int>"))
     else:
         # a text's own mentions bound its map
-        named = F.transform(F.flatten(F.transform("_m", _parts)), lambda p: F.concat_ws("|", p["kind"], _canonical(p)))
-        df = df.withColumn("_t", F.sha2(F.col(text).cast("string"), 256))
-        texts = df.filter(F.size("_m") > 0).select("_t", F.explode(named).alias("_e")).distinct()
-        attempts = texts.join(more, "_e").groupBy("_t").agg(
-            F.map_from_entries(F.collect_list(F.struct("_e", "attempt"))).alias("_again"))
-        df = df.join(attempts, "_t", "left").drop("_t")
-    attempt = lambda e: F.coalesce(F.col("_again")[F.concat_ws("|", e["kind"], e["canonical"])], F.lit(0))
+        named = F.transform(F.flatten(F.transform(found, _parts)), lambda p: F.concat_ws("|", p["kind"], _canonical(p)))
+        df = df.withColumn(whole, F.sha2(F.array_join(at, ""), 256))
+        texts = df.filter(F.size(at) > 1).select(whole, F.explode(named).alias(said)).distinct()
+        attempts = texts.join(more, said).groupBy(whole).agg(
+            F.map_from_entries(F.collect_list(F.struct(said, n))).alias(again))
+        df = df.join(attempts, whole, "left").drop(whole)
+    attempt = lambda e: F.coalesce(F.col(again)[F.concat_ws("|", e["kind"], e["canonical"])], F.lit(0))
     # one transform after the other, so that each step's value is worked out once
-    steps = F.transform("_m", _parts)
+    steps = F.transform(found, _parts)
     each = lambda change: lambda parts: F.transform(parts, change)
     steps = F.transform(steps, each(lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), _canonical(p).alias("canonical"))))
     steps = F.transform(steps, each(lambda p: F.struct(p["kind"].alias("kind"), p["value"].alias("value"), F.when(
@@ -281,7 +321,7 @@ def replace(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     written = F.transform(steps, lambda parts: F.array_join(F.transform(parts, lambda p: F.when(
         p["kind"] == "", p["value"]).when(p["kind"] == "secret", _secret_written(p["value"], p["drawn"])).when(p["kind"].rlike("^(address|given|family)"), p["drawn"])
         .otherwise(_written(p["value"], p["drawn"]))), ""))
-    between = F.split(F.col(text).cast("string"), PATTERN, -1)
+    between = F.filter(at, lambda _, i: i % 2 == 0)
     joined = F.array_join(F.zip_with(between, written, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return df.withColumn(text, F.when(F.size("_m") > 0, joined).otherwise(F.col(text))).withColumn(
-        "n_entities", F.greatest(F.size("_m"), F.lit(0)).cast("bigint")).drop("_m", "_again")
+    entities_found = F.greatest(F.floor(F.size(at) / 2), F.lit(0)).cast("bigint")
+    return df.withColumn("n_entities", entities_found).withColumn(text, joined).select(*order, "n_entities")
