@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from constella.llm.common import cut, importable
+from constella.llm.common import cut, free, importable
 from constella.llm.langid import UNKNOWN, fit, predict
 from constella.llm.queries import SURROGATE_KEY, packed
 from constella.llm.simhash import components, fingerprinted
@@ -24,13 +24,6 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).select(*docs.columns)
 
 
-def free(docs: DataFrame, name: str) -> str:
-    """``name``, made longer until no column has it."""
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
-    return name
-
-
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group of rows linked by fingerprints two bits apart or fewer: that with the smallest id,
     and of those the smallest by text and the other columns (maps have no order and don't count).  Ids neither link rows nor tell them apart, so rows that
