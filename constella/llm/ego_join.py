@@ -12,10 +12,11 @@ links, never the pairs themselves.  Blocks are files in the shared folder (tempo
 of blocks is a task's unit of work.  What the driver holds is bounded: a covariance of at most ``axes`` dimensions and
 the boxes of at most about MAX_BLOCKS blocks.
 
-Nulls and ties: a null id, a null or empty or zero vector, and a vector with a null or non-finite component link with
-nothing (n_links 0, component_id its own id).  Vectors of different lengths don't link.  Repeated rows count as other
-vectors and are returned as often as they come; rows that share an id are one node of a component.  Other columns are
-not read.
+Nulls and ties: a null or empty or zero vector, and a vector with a null or non-finite component, link with nothing
+(n_links 0, component_id its own id).  Vectors of different lengths don't link.  Repeated rows count as other vectors
+and are returned as often as they come.  A row without an id takes part by its vector and counts as another vector;
+component_id is the smallest id that a component has, null where it has none.  Classes whose smallest id is the same
+are one component.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -139,8 +140,7 @@ def _stars(near: np.ndarray):
 class _Block:
     def __init__(self, data: bytes):
         x = np.load(io.BytesIO(data))
-        self.ids, self.marks, self.n, self.dims, self.units, self.proj = (x[k] for k in (
-            "ids", "marks", "n", "dims", "units", "proj"))
+        self.ids, self.n, self.dims, self.units, self.proj = (x[k] for k in ("ids", "n", "dims", "units", "proj"))
         self.links = np.zeros(len(self.ids), dtype=np.int64)
         self.parts = [(a, min(a + SUB, len(self.ids))) for a in range(0, len(self.ids), SUB)]
         self.boxes = [_boxes(self.proj[a:b], self.units[a:b]) for a, b in self.parts]
@@ -182,10 +182,11 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     spark, eps = df.sparkSession, math.sqrt(max(0.0, 2 - 2 * threshold))
     rows = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    usable = F.coalesce(F.col("id").isNotNull() & finite & F.exists("vec", lambda x: x != 0), F.lit(False))
+    usable = F.coalesce(finite & F.exists("vec", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("vec", F.when(usable, F.col("vec"))).withColumn("mark", F.xxhash64("vec"))
-    classes = cut(rows.filter("vec is not null").groupBy("mark", "vec").agg(
-        F.min("id").alias("low"), F.count("*").alias("n")), name="vectors")
+    # a class's node is a number of its own, fixed by the cut, since it may have no id
+    classes = cut(rows.filter("vec is not null").groupBy("mark", "vec").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+                  .withColumn("node", F.monotonically_increasing_id()), name="vectors")
     count, width = classes.agg(F.count("*"), F.max(F.size("vec"))).first()
     if not count:
         return rows.select(F.col("id").alias(key), F.lit(0).cast("bigint").alias("n_links"),
@@ -200,7 +201,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
             cells = pa.array(np.floor(proj / cell).astype(np.int32).tolist(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, cells], names=[*batch.schema.names, "cell"])
 
-    placed = classes.mapInArrow(place, "mark bigint, vec array<double>, low bigint, n bigint, cell array<int>")
+    placed = classes.select("vec", "n", "node").mapInArrow(place, "vec array<double>, n bigint, node bigint, cell array<int>")
 
     def write(batches):
         held, seq = [], 0
@@ -210,8 +211,8 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
             proj = units @ directions
             low, high = _boxes(proj, units)
             sink = io.BytesIO()
-            np.savez(sink, ids=table.column("low").to_numpy(), marks=table.column("mark").to_numpy(),
-                     n=table.column("n").to_numpy(), dims=dims, units=units, proj=proj)
+            np.savez(sink, ids=table.column("node").to_numpy(), n=table.column("n").to_numpy(), dims=dims, units=units,
+                     proj=proj)
             draft = Draft(root, f"block-{TaskContext.get().partitionId():06d}-{seq:06d}.npz")
             draft.write(sink.getvalue())
             draft.close()
@@ -228,7 +229,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
             yield block(rest)
 
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-count // size)))
-    in_order = placed.repartitionByRange(parts, "cell", "low").sortWithinPartitions("cell", "low")
+    in_order = placed.repartitionByRange(parts, "cell", "node").sortWithinPartitions("cell", "node")
     blocks = commit(in_order.mapInArrow(write, "name string, temp string, low array<double>, high array<double>"), root)
     boxes = blocks.select("uri", "low", "high").orderBy("name").collect()    # at most about MAX_BLOCKS rows
     uris = [b.uri for b in boxes]
@@ -253,23 +254,25 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
                         out.append(b)
                 for x in [a, *out]:
                     at = np.nonzero(x.links)[0]
-                    yield pa.record_batch({"u": pa.array(x.ids[at]), "mark": pa.array(x.marks[at]),
-                                           "v": pa.array(x.links[at])})
+                    yield pa.record_batch({"u": pa.array(x.ids[at]), "n": pa.array(x.links[at]),
+                                           "v": pa.nulls(len(at), pa.int64())})
                 if joined.links:
                     u, v = (np.array(k, dtype=np.int64) for k in zip(*joined.links))
-                    yield pa.record_batch({"u": pa.array(u), "mark": pa.nulls(len(u), pa.int64()), "v": pa.array(v)})
+                    yield pa.record_batch({"u": pa.array(u), "n": pa.nulls(len(u), pa.int64()), "v": pa.array(v)})
 
     tasks = spark.range(len(uris)).mapInArrow(pairs, "i bigint, js array<bigint>")
     n_tasks = max(1, min(16 * int(spark.conf.get("spark.sql.shuffle.partitions")), len(uris) * (len(uris) + 1) // 8 + 1))
-    found = cut(tasks.repartition(n_tasks).mapInArrow(compare, "u bigint, mark bigint, v bigint"), name="links")
-    # a link is the same whichever block pair finds it: rows with a mark are counts, the others links of the forest
-    counts = found.filter("mark is not null").groupBy(F.col("u").alias("low"), "mark").agg(F.sum("v").alias("links"))
-    roots = connected_components(found.filter("mark is null").select("u", "v"))
-    named = (classes.join(counts, ["low", "mark"], "left")
-             .join(roots, F.col("low") == roots["node"], "left")
-             .select("mark", "vec", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                     F.coalesce("root", "low").alias("component_id")))
-    linked = rows.filter("vec is not null").join(named, ["mark", "vec"])
+    found = cut(tasks.repartition(n_tasks).mapInArrow(compare, "u bigint, n bigint, v bigint"), name="links")
+    # a link is the same whichever block pair finds it: rows with an n are counts, the others links of the forest
+    counts = found.filter("n is not null").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("links"))
+    shared = classes.filter("low is not null").groupBy("low").agg(F.min("node").alias("u"), F.count("*").alias("c"))
+    shared = classes.join(shared.filter("c > 1"), "low").select("u", F.col("node").alias("v"))
+    roots = connected_components(found.filter("v is not null").select("u", "v").union(shared))
+    named = (classes.join(counts, "node", "left").join(roots, "node", "left")
+             .select("mark", "vec", "low", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+                     F.coalesce("root", "node").alias("root")))
+    lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))    # partial minima before the shuffle
+    linked = rows.filter("vec is not null").join(named.join(lowest, "root"), ["mark", "vec"])
     alone = rows.filter("vec is null").select("id", F.lit(0).cast("bigint").alias("n_links"),
                                               F.col("id").alias("component_id"))
     return linked.select("id", "n_links", "component_id").union(alone).withColumnRenamed("id", key)
