@@ -2,9 +2,10 @@
 
 Many texts are cut at once by Arrow, whose dictionary leaves each distinct chunk to be looked up once.
 
-The vocabulary's pattern never lets a pre-token run from a character that isn't white space into a following space,
+The byte-level pattern never lets a pre-token run from a character that isn't white space into a following space,
 and looks no further back; so a text may be cut before every single space between two other characters.  Chunks
 repeat (they are words with punctuation), and so do their pre-tokens; each worker keeps the encodings of recent ones.
+By any other pattern a text is one chunk.
 """
 
 from __future__ import annotations
@@ -59,7 +60,9 @@ class ChunkCache:
 
     def __init__(self, encode_many: Callable[[list[str]], list[bytes]], pattern: str, chunks: int = 120_000,
                  words: int = 350_000, longest: int = 64):
-        self.encode_many, self.split, self.longest = encode_many, regex.compile(pattern).findall, longest
+        found = regex.compile(pattern)
+        self.split = (lambda text: [m.group() for m in found.finditer(text)]) if found.groups else found.findall
+        self.encode_many, self.longest, self.cuts = encode_many, longest, pattern == BYTE_LEVEL
         self.chunks, self.words = Recent(chunks), Recent(words)
 
     def _split_all(self, chunks: list[str]) -> list[bytes]:
@@ -93,6 +96,9 @@ class ChunkCache:
     def _coded(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """Encodings of the distinct chunks of ``texts``, the place of each chunk of each text among them, and where
         each text's chunks begin (a text has one at least)."""
+        if not self.cuts:
+            whole = texts.dictionary_encode()
+            return self._split_all(whole.dictionary.to_pylist()), whole.indices.to_numpy().astype(np.int64), np.arange(len(texts))
         parts = pc.split_pattern(texts, " ")
         unclear = np.flatnonzero(pc.match_substring_regex(texts, _UNCLEAR_RE2).to_numpy(zero_copy_only=False))
         if len(unclear):
@@ -137,7 +143,7 @@ class ChunkCache:
         return np.concatenate(flat), np.concatenate(counts)
 
     def encode(self, text: str) -> bytes:
-        head, *rest = cut_text(text)
+        head, *rest = cut_text(text) if self.cuts else [text]
         distinct = list(dict.fromkeys(rest))
         found = dict(zip(distinct, self._find(distinct)))
         return b"".join((self._split_all([head]) if head else []) + [found[w] for w in rest])

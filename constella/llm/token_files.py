@@ -181,6 +181,8 @@ def write_token_files(docs: DataFrame, root: str, tokenizer: str, end_id: int, k
         enc, now = encoder(tokenizer), None
         for part in (batch.slice(at, 1000) for batch in batches for at in range(0, batch.num_rows, 1000)):
             ids, counts = enc.encode_all(part.column("_text"))
+            if max(end_id, int(ids.max(initial=0))) > np.iinfo(dtype).max:
+                raise ValueError(f"an id doesn't fit into {dtype}: pass a wider dtype")
             texts = np.split(ids, np.cumsum(counts)[:-1])
             for shard, k, x in zip(part.column("_shard").to_pylist(), part.column("_key").to_pylist(), texts):
                 if now is None or now.shard != shard:

@@ -187,3 +187,29 @@ def test_batches_of_ids_decode_to_the_texts():
     assert own.decode_all(pa.array([], pa.list_(pa.int32()))).to_pylist() == []
     with pytest.raises(ValueError):
         own.decode_all(pa.array([[own.ids[-1], None]], pa.list_(pa.int32())))
+
+
+@pytest.mark.parametrize("pattern", [r"\p{L}+ \p{L}+|\s+|\S", r"(\p{L}+) |.|\n"])
+def test_other_patterns_may_match_across_spaces(pattern):
+    import public_tokenizers as P
+    import pyarrow as pa
+    import regex
+
+    from constella.llm.bpe import Codec
+
+    own = Codec(P.path("byte_bpe_50k.tiktoken"), pattern)
+    texts = ["the quick brown fox", "a b  c d e\n f g", "", "one two", None, "one two"]
+    want = [[i for m in regex.finditer(pattern, t or "") for i in own.encode_word(m.group())] for t in texts]
+    assert own.encode_all(pa.array(texts)).to_pylist() == want
+    assert [np.frombuffer(own.encode(t), "<i4").tolist() for t in texts] == want
+
+
+def test_ids_too_large_for_a_token_file_are_an_error(spark, tmp_path):
+    import public_tokenizers as P
+
+    from constella.llm.token_files import write_token_files
+
+    docs = spark.createDataFrame([(1, "some ordinary words")], "doc_id bigint, text string")
+    for end, dtype in ((0, "uint8"), (70_000, "uint16")):
+        with pytest.raises(Exception, match="doesn't fit"):
+            write_token_files(docs, f"file://{tmp_path}/{dtype}", P.path("byte_bpe_50k.json"), end, dtype=dtype).count()
