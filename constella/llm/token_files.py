@@ -20,11 +20,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from constella.llm.chunks import BYTE_LEVEL, ChunkCache
-from constella.llm.common import ordered_shards
+from constella.llm.common import cut, ordered_shards, sums_before
 from constella.llm.files import Draft, commit, resolve, spread
 
 BATCH_ROWS = 256
@@ -239,10 +239,9 @@ class TokenFile:
 
 def read_documents(manifest: DataFrame) -> DataFrame:
     """Per document of the files: key, start over all files, n_tokens, ids_crc32, shard and its file."""
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    # one row a shard; shards are at most as many as blocks of the histogram
-    offsets = manifest.select("shard", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("bigint")
-                              .alias("offset"))
+    # one row a shard; written, so that its size decides how it is joined
+    offsets = cut(sums_before(manifest.select("shard", "n_tokens"), "shard", "n_tokens").select(
+        "shard", F.col("_before").cast("bigint").alias("offset")), name="offsets")
     files = spread(manifest.select("name", "uri", "shard", "n_tokens", "doc_index"))
 
     def read(batches):
@@ -262,5 +261,5 @@ def read_documents(manifest: DataFrame) -> DataFrame:
 
     docs = files.mapInArrow(read, "key bigint, local_start bigint, n_tokens bigint, ids_crc32 bigint, shard bigint, "
                                   "file string")
-    return docs.join(F.broadcast(offsets), "shard").select(
+    return docs.join(offsets, "shard").select(
         "key", (F.col("offset") + F.col("local_start")).alias("start"), "n_tokens", "ids_crc32", "shard", "file")
