@@ -3,8 +3,8 @@
 A text's paragraphs (lines that aren't blank, trimmed) are hashed to 64-bit digests; the distinct digests go into a
 table of CELLS cells, each digest into one cell of each third.  A cell holds how many digests it has, their xor and
 the xor of their check hashes.  Subtracting two tables cell by cell cancels what both texts have; peeling takes the
-digest of every cell that holds exactly one, removes it from its other cells, and goes on: what it takes is the
-difference of the two texts' paragraph sets, from which their likeness (Jaccard) follows.
+digest of every cell that holds exactly one, removes it from its other cells, and goes on: what it takes are the
+digests that only one of the two texts has (``differences`` returns them), and their likeness (Jaccard) follows.
 
 Where peeling gets stuck the tables were too small for the difference: such pairs are tried again with a larger table
 and another salt, made of independent parts of CELLS cells each to which the digests are dealt by hash, four times as
@@ -77,7 +77,8 @@ def _let(value: Column, use) -> Column:
 
 
 def peel(cells: Column, salt: Column) -> Column:
-    """How many digests differ, or null if the table is too small to tell."""
+    """The digests that differ, as structs (n: 1 for the first text's, -1 for the second's; key), or null if the table
+    is too small to tell."""
     def round_(state: Column, _: Column) -> Column:
         single = F.array_distinct(F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (
             F.xxhash64(c["key"], salt) == c["check"])))
@@ -86,11 +87,14 @@ def peel(cells: Column, salt: Column) -> Column:
                 held["n"] - x["n"], held["key"].bitwiseXOR(x["key"]), held["check"].bitwiseXOR(x["check"])))
             .otherwise(held)))
         return _let(single, lambda pure: F.when(F.size(pure) == 0, state).otherwise(F.struct(
-            taken(pure).alias("cells"), (state["found"] + F.size(pure)).alias("found"))))
+            taken(pure).alias("cells"), F.concat(state["found"], pure).alias("found"))))
 
     empty = lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(cells.alias("cells"), F.lit(0).alias("found")),
-                       round_, lambda s: F.when(F.forall(s["cells"], empty), s["found"]))
+    none = F.filter(cells, lambda c: F.lit(False))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(cells.alias("cells"), none.alias("found")), round_,
+        lambda s: F.when(F.forall(s["cells"], empty), F.transform(
+            s["found"], lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key")))))
 
 
 def written(cells: Column) -> Column:
@@ -100,7 +104,8 @@ def written(cells: Column) -> Column:
 
 
 def differences(pairs: DataFrame, row: str = "row", a: str = "a", b: str = "b") -> DataFrame:
-    """(row, d): the size of the difference of the digest arrays ``a`` and ``b`` of each row, whose id is unique."""
+    """(row, only_a, only_b): the digests of the arrays ``a`` and ``b`` of each row (its id is unique) that the other
+    one lacks, as recovered by peeling."""
     pairs = pairs.select(F.col(row).alias("row"), F.col(a).alias("a"), F.col(b).alias("b"))
     first = pairs.select("row", peel(subtract(sketch(F.col("a")), sketch(F.col("b"))), F.lit(0)).alias("d"))
     first = cut(first, name="peeled")
@@ -118,11 +123,13 @@ def differences(pairs: DataFrame, row: str = "row", a: str = "a", b: str = "b")
             F.collect_list("x").alias("xs"))
         entries = F.transform("xs", lambda x: _entry(x["h"], x["n"], salt))
         tried = larger.select("row", peel(table_of(entries), salt).alias("d"))
-        tried = cut(tried.groupBy("row").agg(F.when(F.count("*") == F.count("d"), F.sum("d").cast("int")).alias("d")),
+        # what a row's parts give is no longer than its two arrays
+        tried = cut(tried.groupBy("row").agg(F.when(F.count("*") == F.count("d"), F.flatten(F.collect_list("d"))).alias("d")),
                     name="peeled")
         done = done.union(tried.filter("d is not null"))
         failed = tried.filter("d is null").select("row")
-    return done
+    side = lambda n: F.transform(F.filter("d", lambda x: x["n"] == n), lambda x: x["key"])
+    return done.select("row", side(1).alias("only_a"), side(-1).alias("only_b"))
 
 
 def likeness(a: Column, b: Column, d: Column) -> Column:
@@ -136,12 +143,14 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_by
     rows = ordered_shards(rows, key, F.octet_length("text") + 64, shard_bytes)
     # the first document of the following shard, for the last of each
     place = F.struct(F.col(key).isNotNull().alias("x"), F.col(key).alias("k"))
-    lowest = rows.groupBy("_shard").agg(F.min(place).alias("low"))
-    around = Window.orderBy("_shard")    # at most as many shards as blocks of the histogram
-    lowest = lowest.select(F.col("_shard").alias("_of"), "low", F.coalesce(
-        F.lag("_shard").over(around), F.max("_shard").over(around.rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing))).alias("_before"))
-    firsts = rows.join(F.broadcast(lowest), (rows["_shard"] == lowest["_of"]) & rows[key].eqNullSafe(F.col("low.k")))
+    lowest = rows.groupBy("_shard").agg(F.min(place).alias("low")).withColumn("_run", F.shiftright("_shard", 10))
+    within, around = Window.partitionBy("_run").orderBy("_shard"), Window.orderBy("_run")
+    runs = lowest.groupBy("_run").agg(F.max("_shard").alias("_top"))
+    runs = runs.select("_run", F.coalesce(F.lag("_top").over(around), F.max("_top").over(around.rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing))).alias("_earlier"))
+    lowest = lowest.withColumn("_lag", F.lag("_shard").over(within)).join(runs, "_run")
+    lowest = cut(lowest.select(F.col("_shard").alias("_of"), "low", F.coalesce("_lag", "_earlier").alias("_before")), name="lowest")
+    firsts = rows.join(lowest, (rows["_shard"] == lowest["_of"]) & rows[key].eqNullSafe(F.col("low.k")))
     firsts = firsts.groupBy("_before").agg(F.min("text").alias("_first")).select(
         F.col("_before").alias("_shard"), "_first")
     order = Window.partitionBy("_shard").orderBy(F.asc_nulls_first(key), "text")
@@ -153,7 +162,8 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_by
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every document's fingerprint beside those of an edited version and of the next document."""
+    """Every document's fingerprint beside those of an edited version and of the next document; ``lost`` and ``gained``
+    are the recovered digests of the paragraphs that only the document and only its edited version have."""
     rows = with_next(docs, key, text).withColumn("n_chars", F.length("text").cast("bigint"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("edited", F.concat(
@@ -164,11 +174,15 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = cut(rows, name="digests")    # without texts; what follows needs only digests
     both = rows.select(F.expr("row * 2").alias("row"), F.col("digests").alias("a"), F.col("edited_digests").alias("b")).union(
         rows.select(F.expr("row * 2 + 1"), "digests", "next_digests"))
-    found = differences(both).select(F.expr("row div 2").alias("row"), F.struct(F.expr("row % 2").alias("of"), "d").alias("x"))
-    found = found.groupBy("row").agg(F.max(F.when(F.col("x.of") == 0, F.col("x.d"))).alias("d_edited"),
-                                     F.max(F.when(F.col("x.of") == 1, F.col("x.d"))).alias("d_next"))
+    found = differences(both).select(F.expr("row div 2").alias("row"), F.expr("row % 2").alias("of"), "only_a", "only_b")
+    edited, following = F.col("of") == 0, F.col("of") == 1
+    found = found.groupBy("row").agg(
+        F.first(F.when(edited, F.col("only_a")), ignorenulls=True).alias("lost"),
+        F.first(F.when(edited, F.col("only_b")), ignorenulls=True).alias("gained"),
+        F.max(F.when(following, F.size("only_a") + F.size("only_b"))).alias("d_next"))
     return rows.join(found, "row").select(
         key, "n_chars", "edited_sha256", written(sketch(F.col("digests"))).alias("fingerprint"),
         written(sketch(F.col("edited_digests"))).alias("edited_fingerprint"),
-        likeness(F.size("digests"), F.size("edited_digests"), F.col("d_edited")).alias("near_edited"),
-        likeness(F.size("digests"), F.size("next_digests"), F.col("d_next")).alias("near_next"))
+        likeness(F.size("digests"), F.size("edited_digests"), F.size("lost") + F.size("gained")).alias("near_edited"),
+        likeness(F.size("digests"), F.size("next_digests"), F.col("d_next")).alias("near_next"),
+        F.array_sort("lost").alias("lost"), F.array_sort("gained").alias("gained"))

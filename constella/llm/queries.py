@@ -71,10 +71,13 @@ def op4_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's fingerprint, that of its edited text, and their likeness."""
+    """Every document's fingerprint, that of its edited text, their likeness and the digests in which they differ."""
     from constella.llm.fingerprint import fingerprints
 
-    return fingerprints(table(spark, sf_dir, "documents"))
+    digests = lambda name: F.array_join(F.transform(name, lambda x: F.hex(x)), " ").alias(name)
+    return fingerprints(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        digests("lost"), digests("gained"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from constella.llm.common import importable, shared_dir
 
@@ -119,14 +120,20 @@ def test_fingerprints_and_surrogates(docs):
 
     order = sorted(((d[0], d[1] or "") for d in DOCS), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
     sets = lambda t: {x.strip(" ") for x in t.split("\n")} - {""}
-    want = []
+    want, digest = [], lambda x: xxhash.xxh64_intdigest(x.encode(), 42)
+    signed = lambda xs: tuple(sorted(x - (x >> 63 << 64) for x in map(digest, xs)))
     for i, (key, text) in enumerate(order):
         after, half = order[(i + 1) % len(order)][1], len(text) // 2
         edited = text[:len(text) - half] + after[:half]
-        a, b = sets(text), sets(edited)
-        want.append((key or 0, len(text), hashlib.sha256(edited.encode()).hexdigest(),
-                     round(len(a & b) / len(a | b) if a | b else 1.0, 9)))
-    got = [(r.doc_id or 0, r.n_chars, r.edited_sha256, round(r.near_edited, 9)) for r in fingerprints(docs).collect()]
+        a, b, c = sets(text), sets(edited), sets(after)
+        like = lambda x, y: round(len(x & y) / len(x | y) if x | y else 1.0, 9)
+        want.append((key or 0, len(text), hashlib.sha256(edited.encode()).hexdigest(), like(a, b), like(a, c),
+                     signed(a - b), signed(b - a)))
+    rows = fingerprints(docs).collect()
+    got = [(r.doc_id or 0, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9), tuple(r.lost),
+            tuple(r.gained)) for r in rows]
+    of = {i: {r.fingerprint for r in rows if r.doc_id == i} for i in (1, 2, 3, 4)}
+    assert of[1] == of[2] and of[3] == of[4] and of[1] != of[3]
     assert sorted(got) == sorted(want)    # 300 paragraphs: peeling must be tried again with larger tables
     rows = [r for r in replace(docs, "k").collect() if r.n_entities]
     assert len(rows) == 2 and rows[0].text == rows[1].text and "555-7741" not in rows[0].text
