@@ -106,9 +106,10 @@ def ordered_shards(df: DataFrame, key: str, weight: Column, target: int) -> Data
         rows = rows.withColumn("_at", F.when(F.col("_of").isNull(), F.col("_at")).otherwise(begin(F.col("_of"))))
         inside = rows.filter("_of is not null").withColumn("_i", place(F.col("_of")))
         rows = rows.drop("_of")
-    # no block is hot, and Spark's statistics of the written cells decide how they are joined
+    # a block is a few numbers, and their count is bounded: MAX_BLOCKS a round and a few for each target of weight; so
+    # they are broadcast at any size, and the rows, which hold whole payloads, aren't shuffled to find their shard
     light = light.select(F.col("_at").alias("_cell"), F.floor(F.col("_base") / F.lit(target)).cast("bigint").alias("_shard"))
-    return rows.join(light, F.col("_at") == F.col("_cell")).drop("_at", "_cell")
+    return rows.join(F.broadcast(light), F.col("_at") == F.col("_cell")).drop("_at", "_cell")
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
