@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from constella.plans.pipeline import RunOptions, load_pages
-from constella.session import materialize, scratch
+from constella.session import scratch
 from constella.sources.pages import envelope_schema, pages_of
 from constella.sources.tables import Warehouse
 
@@ -44,7 +44,7 @@ def run_stream(wh: Warehouse, landing: str, checkpoint: str | None = None,
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         with scratch(spark):
-            load_pages(wh, materialize(batch, name="pages"), limit, options, source="stream")
+            load_pages(wh, batch, limit, options, source="stream")
 
     q = (landed_stream(spark, landing, multiline, max_files_per_trigger)
          .writeStream.trigger(availableNow=True)
