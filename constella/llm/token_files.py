@@ -23,20 +23,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from constella.llm.chunks import BYTE_LEVEL, ChunkCache
+from constella.llm.chunks import ChunkTable
 from constella.llm.common import cut, ordered_shards, sums_before
 from constella.llm.files import Draft, commit, resolve, spread
 
 BATCH_ROWS = 256
-# The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes follow from 256 on
-_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_OTHERS = [b for b in range(256) if b not in set(_PLAIN)]
-_BYTE_LETTERS = [chr(b) if b in set(_PLAIN) else chr(256 + _OTHERS.index(b)) for b in range(256)]
 _encoders: dict[str, "TextEncoder"] = {}
 
 
 class TextEncoder:
-    """Whole texts to uint32 ids by the tokenizers library (add_special_tokens=False), each pre-token once while it is kept."""
+    """Whole texts to uint32 ids by the tokenizers library (add_special_tokens=False), each chunk once while it is kept."""
 
     def __init__(self, path: str):
         import os
@@ -46,38 +42,37 @@ class TextEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        # pre-tokens of other vocabularies may not stand alone: their texts are encoded whole
+        # chunks of other vocabularies may not stand alone: their texts are encoded whole
         made = json.loads(self.tok.to_str())
         self.plain = made["normalizer"] is None and made["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-        self.cache = ChunkCache(self._many, BYTE_LEVEL)
-
-    def _many(self, words: list[str]) -> list[bytes]:
-        model, letters = self.tok.model.tokenize, _BYTE_LETTERS
-        return [np.array([t.id for t in model("".join([letters[b] for b in w.encode()]))], dtype="<u4").tobytes()
-                for w in words]
+        self.cache = ChunkTable(self.tok)
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, dtype="<u4")
-        if not self.plain or any(s in text for s in self.special):    # the library looks for them before it splits
-            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
-        return np.frombuffer(self.cache.encode(text), dtype="<u4")
+        return self.encode_all(pa.array([text]))[0]
 
-    def _alone(self, texts: pa.Array) -> bool:
-        return not self.plain or any(pc.any(pc.match_substring(texts, s)).as_py() for s in self.special)
+    def _alone(self, texts: pa.Array) -> np.ndarray:
+        """Whether each text is encoded whole: the library looks for special tokens before it splits."""
+        alone = np.full(len(texts), not self.plain)
+        for s in self.special:
+            alone |= pc.match_substring(texts, s).fill_null(False).to_numpy(zero_copy_only=False)
+        return alone
 
     def count_all(self, texts: pa.Array) -> np.ndarray:
         """Number of ids of each text."""
-        if self._alone(texts):
-            return np.array([len(self.encode(t)) for t in texts.to_pylist()], dtype=np.int64)
-        return self.cache.count_all(texts)
+        return self.encode_all(texts)[1] if self._alone(texts).any() else self.cache.count_all(texts)
 
     def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and the number of ids of each."""
-        if self._alone(texts):
-            found = [self.encode(t) for t in texts.to_pylist()]
-            return np.concatenate([np.empty(0, "<u4"), *found]), np.array(list(map(len, found)), dtype=np.int64)
-        return self.cache.encode_all(texts)
+        alone = self._alone(texts)
+        if not alone.any():
+            return self.cache.encode_all(texts)
+        ids, counts = self.cache.encode_all(texts.filter(pa.array(~alone)))
+        others = iter(np.split(ids, np.cumsum(counts)[:-1]))
+        found = [np.array(self.tok.encode(t.as_py() or "", add_special_tokens=False).ids, dtype="<u4") if whole else next(others)
+                 for t, whole in zip(texts, alone)]
+        return np.concatenate(found), np.array(list(map(len, found)), dtype=np.int64)
 
 
 def encoder(path: str) -> TextEncoder:

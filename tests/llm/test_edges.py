@@ -1,5 +1,6 @@
 """Nulls, empty and repeated rows, clashing names and empty tables, against brute-force versions."""
 
+import itertools
 import base64
 import hashlib
 import random
@@ -179,6 +180,44 @@ def test_batches_of_texts_encode_as_the_library_does(monkeypatch):
     assert enc.count_all(pa.array([], pa.string())).tolist() == []
 
 
+def test_words_met_again_are_not_encoded_again():
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from constella.llm.chunks import ChunkTable
+
+    class Counting:
+        def __init__(self, tok):
+            self.tok, self.asked, self.model = tok, [], self
+
+        def encode(self, text, **settings):
+            self.asked.append(text)
+            return self.tok.encode(text, **settings)
+
+        def tokenize(self, word):
+            self.asked.append(word)
+            return self.tok.model.tokenize(word)
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    count, letters = Counting(tok), "abcdefgh"
+    table = ChunkTable(count)
+    words = ["".join(w) for w in itertools.product(letters, repeat=4)]
+    texts = [f"Head {w} {w}, {w}.\n{w} 7{w} {w}\n\n{w} {w}'s caf\u00e9{w} {w}\x1c {w}\n" for w in words]
+    want = [tok.encode(t).ids for t in texts]
+    ids, counts = table.encode_all(pa.array(texts))
+    assert counts.tolist() == [len(x) for x in want]
+    assert ids.tolist() == [i for x in want for i in x]
+    assert all(count.asked.count(x) == 1 for x in ("\u0120" + words[0], words[0], ",", "'s"))    # in whatever chunk
+    before = len(count.asked)
+    ids, counts = table.encode_all(pa.array([f"Head {w}; {w}, {w}" for w in reversed(words)]))
+    assert count.asked[before:] == [";", "Head"]
+    small = ChunkTable(tok, room=3)
+    for _ in range(2):    # what was forgotten is encoded again
+        assert small.encode_all(pa.array(texts[:50]))[0].tolist() == [i for x in want[:50] for i in x]
+    assert len(small.stems.texts) == len(small.stems.ids) == 3
+
+
 def test_batches_of_ids_decode_to_the_texts():
     import public_tokenizers as P
     import pyarrow as pa
