@@ -45,11 +45,19 @@ def _plus(a: Column, b: Column) -> Column:
     return _cell(a["n"] + b["n"], a["key"].bitwiseXOR(b["key"]), a["check"].bitwiseXOR(b["check"]))
 
 
-def _holds(x: Column, cell: Column) -> Column:
+def _places(third: int) -> Column:
+    """What the check hashes of the digests in each cell of a third have in the bits that choose it."""
+    return F.array(*[F.lit(c << 8 * third).cast("bigint") for c in range(THIRD)])
+
+
+def _holds(x: Column, third: int, place: Column) -> Column:
     """Whether a digest, by its check hash, belongs in a cell."""
-    own = lambda k: F.shiftright(x["check"], 8 * k).bitwiseAND(F.lit(THIRD - 1)) + THIRD * k
-    third = F.floor(cell / THIRD)
-    return cell == F.when(third == 0, own(0)).when(third == 1, own(1)).otherwise(own(2))
+    return x["check"].bitwiseAND(F.lit(THIRD - 1 << 8 * third).cast("bigint")) == place
+
+
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once: within a lambda it would be for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _entry(key: Column, n: Column, salt: Column) -> Column:
@@ -58,8 +66,9 @@ def _entry(key: Column, n: Column, salt: Column) -> Column:
 
 def table_of(entries: Column) -> Column:
     """The cells for an array of entries (n, key, check)."""
-    return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda cell: F.aggregate(
-        entries, _zero(), lambda held, x: F.when(_holds(x, cell), _plus(held, x)).otherwise(held)))
+    return _let(entries, lambda xs: F.concat(*[F.transform(_places(third), lambda place: F.aggregate(
+        xs, _zero(), lambda held, x: F.when(_holds(x, third, place), _plus(held, x)).otherwise(held)))
+        for third in range(3)]))
 
 
 def sketch(digests: Column, salt: int = 0) -> Column:
@@ -71,28 +80,29 @@ def subtract(a: Column, b: Column) -> Column:
         x["n"] - y["n"], x["key"].bitwiseXOR(y["key"]), x["check"].bitwiseXOR(y["check"])))
 
 
-def _let(value: Column, use) -> Column:
-    """``use`` of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def peel(cells: Column, salt: Column) -> Column:
     """The digests that differ, as structs (n: 1 for the first text's, -1 for the second's; key), or null if the table
     is too small to tell."""
+    def without(cells: Column, pure: Column) -> Column:
+        return F.concat(*[F.zip_with(F.slice(cells, THIRD * third + 1, THIRD), _places(third), lambda c, place: F.aggregate(
+            pure, c, lambda held, x: F.when(_holds(x, third, place), _cell(
+                held["n"] - x["n"], held["key"].bitwiseXOR(x["key"]), held["check"].bitwiseXOR(x["check"])))
+            .otherwise(held))) for third in range(3)])
+
+    def state_(cells: Column, found: Column, more: Column) -> Column:
+        return F.struct(cells.alias("cells"), found.alias("found"), more.alias("more"))
+
     def round_(state: Column, _: Column) -> Column:
         single = F.array_distinct(F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (
             F.xxhash64(c["key"], salt) == c["check"])))
-        taken = lambda pure: F.transform(state["cells"], lambda c, i: F.aggregate(
-            pure, c, lambda held, x: F.when(_holds(x, i), _cell(
-                held["n"] - x["n"], held["key"].bitwiseXOR(x["key"]), held["check"].bitwiseXOR(x["check"])))
-            .otherwise(held)))
-        return _let(single, lambda pure: F.when(F.size(pure) == 0, state).otherwise(F.struct(
-            taken(pure).alias("cells"), F.concat(state["found"], pure).alias("found"))))
+        return F.when(~state["more"], state).otherwise(_let(single, lambda pure: F.when(
+            F.size(pure) == 0, state_(state["cells"], state["found"], F.lit(False))).otherwise(state_(
+                without(state["cells"], pure), F.concat(state["found"], pure), F.lit(True)))))
 
     empty = lambda c: (c["n"] == 0) & (c["key"] == 0) & (c["check"] == 0)
-    none = F.filter(cells, lambda c: F.lit(False))
+    none = F.array().cast("array<struct<n:int,key:bigint,check:bigint>>")
     return F.aggregate(
-        F.sequence(F.lit(1), F.lit(ROUNDS)), F.struct(cells.alias("cells"), none.alias("found")), round_,
+        F.sequence(F.lit(1), F.lit(ROUNDS)), state_(cells, none, F.lit(True)), round_,
         lambda s: F.when(F.forall(s["cells"], empty), F.transform(
             s["found"], lambda c: F.struct(c["n"].alias("n"), c["key"].alias("key")))))
 

@@ -235,6 +235,19 @@ def test_batches_of_ids_decode_to_the_texts():
         own.decode_all(pa.array([[own.ids[-1], None]], pa.list_(pa.int32())))
 
 
+def test_a_pair_s_digests_are_hashed_once(spark, capsys):
+    from pyspark.sql import functions as F
+
+    from constella.llm.fingerprint import differences, peel, sketch, subtract
+
+    pairs = spark.createDataFrame([(1, [5, 6, 7], [7, 8]), (2, [], [-1]), (3, [9], [9]), (4, list(range(40)), list(range(60)))],
+                                  "row bigint, a array<bigint>, b array<bigint>")
+    pairs.select(peel(subtract(sketch(F.col("a")), sketch(F.col("b"))), F.lit(0)).alias("d")).explain("simple")
+    assert capsys.readouterr().out.count("xxhash64(") == 3    # a's, b's and, when peeling, a single digest's
+    got = {r.row: (sorted(r.only_a), sorted(r.only_b)) for r in differences(pairs).collect()}
+    assert got == {1: ([5, 6], [8]), 2: ([], [-1]), 3: ([], []), 4: ([], list(range(40, 60)))}
+
+
 @pytest.mark.parametrize("pattern", [r"\p{L}+ \p{L}+|\s+|\S", r"(\p{L}+) |.|\n"])
 def test_other_patterns_may_match_across_spaces(pattern):
     import public_tokenizers as P
